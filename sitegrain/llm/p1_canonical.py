@@ -2,13 +2,15 @@
 
 Prefix-filtered set-similarity join. Distinct values and the labels of the list are cut into word-padded
 character bigrams, bigrams are ordered by global rarity, only rare prefixes are joined, length and positional
-filters prune the pairs, Jaccard is verified exactly on the survivors and the best label is kept.
+filters prune the pairs, Jaccard is verified exactly on the survivors, their words are compared one by one and the
+best label is kept.
 Labels are the entries, spellings that rules derive from them, and the fixed short forms below.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import permutations
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -57,7 +59,7 @@ SPECIALTY_OTHER = {
     "Bariatrics": "bariatric medicine;weight loss surgery;bariatric surgery;weight loss;obesity medicine",
     "Sleep Medicine": "sleep;sleep disorders;sleep med;sleep care",
     "Radiology": "diagnostic imaging;imaging;xray;medical imaging;rads;x ray",
-    "Pathology": "path;lab medicine;laboratory medicine",
+    "Pathology": "path;lab medicine;lab pathology;laboratory medicine",
     "Anesthesiology": "anesthesia;anaesthesia;anaesthesiology;anes;anesth",
     "Otolaryngology": "ent;ear nose throat;ear nose and throat;oto",
     "Podiatry": "foot care;foot and ankle;foot ankle care;foot and ankle care;feet;foot health",
@@ -156,27 +158,62 @@ def set_similarity_join(left: DataFrame, right: DataFrame, threshold: float) ->
 
 
 def edit_distance(a: str, b: str) -> int:
-    """Insertions, deletions, replacements and swaps of neighbours."""
-    before, last = list(range(len(b) + 1)), None
-    older: list[int] = []
+    """Insertions, deletions, replacements and swaps of neighbours, letters lost or put between these included."""
+    far = len(a) + len(b)
+    d = {(-1, j): far for j in range(-1, len(b) + 1)} | {(i, -1): far for i in range(len(a) + 1)}
+    d |= {(i, 0): i for i in range(len(a) + 1)} | {(0, j): j for j in range(len(b) + 1)}
+    seen: dict[str, int] = {}
     for i, x in enumerate(a, 1):
-        row = [i]
+        same = 0
         for j, y in enumerate(b, 1):
-            d = min(before[j] + 1, row[j - 1] + 1, before[j - 1] + (x != y))
-            if i > 1 and j > 1 and x == b[j - 2] and a[i - 2] == y:
-                d = min(d, older[j - 2] + 1)
-            row.append(d)
-        older, before, last = before, row, row
-    return (last or before)[-1]
+            k, m = seen.get(y, 0), same
+            if x == y:
+                same = j
+            d[i, j] = min(d[i - 1, j] + 1, d[i, j - 1] + 1, d[i - 1, j - 1] + (x != y), d[k - 1, m - 1] + i - k + j - m - 1)
+        seen[x] = i
+    return d[len(a), len(b)]
 
 
-def canonicalize(values: DataFrame, label_rows: DataFrame, join_at: float = 0.2, same_set: float = 0.6, same_text: float = 0.65, same_other: float = 0.85) -> DataFrame:
+def word_edits(a: str, b: str) -> int | None:
+    """Edits that turn the typed word into the entry's word, null if they are too many for a slip of typing.
+
+    One edit is allowed from four letters on. Two are from five letters on, if the first letter stays and the word is
+    not merely cut short by them, since words with another start or ending (virology, audiology, India) are other words.
+    """
+    if a == b:
+        return 0
+    if len(b) < 4 or len(a) < 3 or abs(len(a) - len(b)) > 2:
+        return None
+    d = edit_distance(a, b)
+    return d if d == 1 or (d == 2 and len(b) >= 5 and a[0] == b[0] and not b.startswith(a)) else None
+
+
+def word_agreement(a: str, b: str) -> float:
+    """The part of the letters in which two texts agree if each word of one fits a word of the other in any order, else 0.
+
+    ``and`` is no word. Beside a word that fits wholly, one may be cut short to four letters or more. Since a slip may hit
+    a short word or a space, texts of several words also fit if they do so as one word, with or without their spaces.
+    """
+    x, y = ([w for w in t.split(" ") if w != "and"] for t in (a, b))
+    if sorted(x) == sorted(y):
+        return 1.0
+    longer = max(len("".join(x)), len("".join(y)))
+    whole = set(x) & set(y)
+    fits = [d for gap in ("", " ") if (d := word_edits(gap.join(x), gap.join(y))) is not None]
+    for order in (permutations(y) if len(y) <= 5 else [y]) if len(x) == len(y) else []:
+        each = [1 if whole and len(v) >= 4 and w.startswith(v) and v != w else word_edits(v, w) for v, w in zip(x, order, strict=True)]
+        if None not in each:
+            fits.append(sum(each))
+    return max(0.0, 1 - min(fits) / longer) if fits else 0.0
+
+
+def canonicalize(values: DataFrame, label_rows: DataFrame, join_at: float = 0.2, same_other: float = 0.85) -> DataFrame:
     """(field_name, value, canon_key) for distinct ``values`` (field_name, value); canon_key is '' where no entry fits.
 
     A label fits when it equals the normalised value or, unless it is a short form or has under four letters, when
-    the bigram sets reach ``same_set`` or the texts agree in ``same_text`` of their letters (swaps count once);
-    other names than the entry's own need ``same_other`` of either.
-    Of several the best agreement wins, then the higher Jaccard, then the smaller key. Null or blank values get ''.
+    the two agree word by word (``word_agreement``); other names than the entry's own must agree in ``same_other`` of
+    their letters. Of several the best agreement wins, then the higher Jaccard, then the smaller key. Null or blank
+    values get ''.
     """
     v = values.select("field_name", "value", norm(F.col("value")).alias("text"))
     texts = v.select(F.col("field_name").alias("part"), F.col("text").alias("lid")).where("lid <> ''").distinct().withColumn("toks", bigrams(F.col("lid")))
@@ -186,14 +223,15 @@ def canonicalize(values: DataFrame, label_rows: DataFrame, join_at: float = 0.2,
 
     def agree(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for p in batches:
-            p["agree"] = [1.0 if a == b else 1 - edit_distance(a, b) / max(len(a), len(b)) for a, b in zip(p.lid, p.rid, strict=True)]
-            yield p[["part", "lid", "canon_key", "fuzzy", "jaccard", "agree", "rid"]]
+            p["same"] = p.lid == p.rid
+            p["agree"] = [word_agreement(a, b) for a, b in zip(p.lid, p.rid, strict=True)]
+            yield p[["part", "lid", "canon_key", "fuzzy", "jaccard", "agree", "same", "rid"]]
 
-    scored = found.mapInPandas(agree, "part string, lid string, canon_key string, fuzzy int, jaccard double, agree double, rid string")
+    scored = found.mapInPandas(agree, "part string, lid string, canon_key string, fuzzy int, jaccard double, agree double, same boolean, rid string")
     loose = (F.length("rid") >= 4) & (F.length("lid") >= 3)
-    near = ((F.col("fuzzy") == 2) & ((F.col("jaccard") >= same_set) | (F.col("agree") >= same_text))) | ((F.col("fuzzy") == 1) & (F.greatest("jaccard", "agree") >= same_other))
-    fits = (F.col("agree") == 1) | (loose & near)
-    best = scored.where(fits).groupBy("part", "lid").agg(F.min_by("canon_key", F.struct(-F.greatest("agree", "jaccard"), -F.col("jaccard"), F.col("canon_key"))).alias("canon_key"))
+    near = ((F.col("fuzzy") == 2) & (F.col("agree") > 0)) | ((F.col("fuzzy") == 1) & (F.col("agree") >= same_other))
+    fits = F.col("same") | (loose & near)
+    best = scored.where(fits).groupBy("part", "lid").agg(F.min_by("canon_key", F.struct(~F.col("same"), -F.col("agree"), -F.col("jaccard"), F.col("canon_key"))).alias("canon_key"))
     out = v.join(best, (v.field_name == best.part) & (v.text == best.lid), "left")
     return out.select("field_name", "value", F.coalesce("canon_key", F.lit("")).alias("canon_key"))
 
