@@ -17,9 +17,14 @@ from sitegrain.sources.tables import materialize, table
 SLOT = (
     r"\{\{.*?\}\}|\$\{.*?\}|<%.*?%>|%%\w+%%|@@[\w.]+@@|__[A-Za-z][\w.]*__|\[\[.*?\]\]|\{#?[A-Za-z_][\w.|]*\}|\{%.*?%\}|\[[a-z]+(_[a-z]+)*\]"
 )
+# The phrases that stand behind the number of an HTTP error; a bare number may be that of a house.
+REASON = (
+    r"(bad request|unauthori[sz]ed|payment required|forbidden|(page |file )?not found|method not allowed|not acceptable|proxy auth|request time-?out|conflict|gone\b|(payload|entity|uri|url) too|unsupported media|"
+    r"too many requests|unavailable for legal|(internal )?server error|not implemented|bad gateway|(service )?(temporarily )?unavailable|gateway time-?out|access denied|no encontrad)"
+)
 NOTICES = (
     # errors
-    r"^(error )?[45]\d\d\b.{0,60}$",
+    rf"^(http )?(error|status)( code)?[ :#-]*[45]\d\d\b.{{0,60}}$|^(http )?[45]\d\d\W*$|^(http )?[45]\d\d\b\W*(error\b|{REASON})",
     r"\b(page not found|bad gateway|gateway time-?out|internal server error|service (temporarily )?unavailable|not acceptable|too many requests)\b",
     r"^(access )?(forbidden|denied)\b|access denied|permission denied|lost that page|does not exist any more|no longer exists|page is gone|page (cannot|can't|could not) be found",
     r"\b(database connection|sqlstate|stack trace|traceback|nullreference|nullpointer|unhandled exception|uncaught \w*error|fatal error|parse error|failed to open stream|segmentation fault)",
