@@ -1,8 +1,9 @@
 """Problem 2: template residue and error pages.
 
-Lines of each page are counted by host in a masked form (digits and capitalised words made alike); forms that recur
-on a host, or on many hosts, are boilerplate and are subtracted. A page is excluded if what stays shows an error
-message, a placeholder, filler or a notice that scripts, a sign-in or time are needed, and next to no other sentence.
+Lines of each page are counted by host in a masked form (numbers made alike); forms that recur on a large share of a
+host's pages are boilerplate and are subtracted, and so is what every site puts around its pages. A page is excluded if
+what stays shows an error message, a placeholder, filler or a notice that scripts, a sign-in or time are needed, and
+next to no other words.
 Lines that show such evidence are never subtracted. All expressions run in the JVM.
 """
 
@@ -12,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sitegrain.functions.text import clean
+from sitegrain.functions.urls import page_key
 from sitegrain.sources.tables import materialize, table
 
 SLOT = (
@@ -35,12 +37,19 @@ NOTICES = (
     # sign-in, not ready yet
     r"(sign|log) ?in to (continue|view|proceed|see)|members only|login required|must (be logged|sign|log) in",
     r"^(site )?under construction|coming soon|check back (later|soon)|being built here|site is on its way|planned maintenance|down for maintenance|scheduled maintenance|under maintenance|launching soon|domain is (parked|for sale)",
-    # filler
+)
+FILLERS = (
     r"\blorem\b.*\bipsum\b|\bipsum\b.*\blorem\b|dolor sit amet|sample text\b|dummy (copy|text)|placeholder (paragraph|text)|^(asdf|jkl|qwer\w*|xx+|blah|test|foo|bar|text)( (asdf|jkl|qwer\w*|xx+|blah|test|foo|bar|text))*\W*$|blah blah|text text text|body copy to follow|(your|body|main) (text|copy) (here|to follow)|hello world!|first post of this theme",
     r"^(title|text|heading|headline|content|description) goes here|describe your (clinic|practice|company|business)|insert (headline|paragraph|text|title|image|your)|^your (company|practice|clinic|business) name|welcome to your (practice|clinic|company|site)\b|(text|page) (in the page builder|builder)|click to (select|edit)|edit this text|replace (it|this) before|delete or edit it",
     r"^\[[^\]]{2,80}\]$",
 )
-NOTICE = "(?i)" + "|".join(NOTICES)
+NOTICE, FILLER = ("(?i)" + "|".join(x) for x in (NOTICES, FILLERS))
+# What sites put around their pages: consent, legal lines, teasers and ways back.
+CHROME = "(?i)" + "|".join((
+    r"\b(cookies?|tracking files|store small files)\b|\b(reject|accept) all\b|^©|^\(c\) |^copyright\b|\ball rights reserved\b",
+    r"^(site map|sitemap|terms of (use|service)|privacy (policy|notice))\b|\bfollows civil rights law\b|\breplaces the advice of your (own )?doctor\b|\bwork better with javascript\b",
+    r"^(related|most read|latest news|upcoming|see also|read next|you may also like)\b ?:|^(subscribe to|sign up for)\b.{0,60}\b(news)?letter\b|^follow\b.{0,60}\b(networks|social media|facebook|twitter|instagram)\b|^book now\b|\b(back to|return to|visit) (the |our )?home ?page\b",
+))
 BLOCKS = "p|div|li|ul|ol|h[1-6]|td|th|tr|table|section|article|main|aside|header|footer|nav|dialog|button|form|title|br|body|html|noscript|dl|dt|dd|pre|blockquote"
 
 
@@ -57,34 +66,42 @@ def visible_lines(html: Column) -> Column:
 
 
 def masked(line: Column) -> Column:
-    """The line with numbers as #, capitalised words as @ and runs of them as one."""
-    x = F.regexp_replace(F.regexp_replace(line, r"\d+", "#"), r"\b\p{Lu}[\p{L}'’]*", "@")
-    return F.regexp_replace(x, r"@(?:[ .,-]+@)+", "@")
+    """The line with numbers as #."""
+    return F.regexp_replace(line, r"\d+", "#")
+
 
+def page_lines(real: DataFrame, notice_words: int) -> DataFrame:
+    """(ord, domain, page, shape, evidence, content) of every line; ``page`` is the hash of the URL's ``page_key``.
 
-def page_lines(real: DataFrame) -> DataFrame:
-    """(ord, domain, page, shape, evidence, words) of every line; ``page`` is the hash of the URL without query and fragment."""
-    url = F.regexp_replace(F.lower(F.coalesce("url", F.lit(""))), r"[?#].*$|/+$", "")
-    lines = real.select("ord", F.coalesce("domain", F.lit("")).alias("domain"), F.xxhash64(url).alias("page"), F.explode(visible_lines(F.col("html"))).alias("line"))
-    evidence = ((F.length("line") <= 400) & F.col("line").rlike(NOTICE)) | F.col("line").rlike(SLOT)
-    return lines.select("ord", "domain", "page", F.xxhash64(masked(F.col("line"))).alias("shape"), evidence.alias("evidence"), F.size(F.split("line", " ")).alias("words"))
+    ``content`` counts the words that a page's own text may consist of: those of other lines than evidence and
+    ``CHROME`` that have seven words, or three and a digit (phones, hours, addresses). A notice has no more than
+    ``notice_words``, what its line has beyond is content; filler and unfilled slots have none at any length.
+    """
+    lines = real.select("ord", F.coalesce("domain", F.lit("")).alias("domain"), F.xxhash64(page_key("url")).alias("page"), F.explode(visible_lines(F.col("html"))).alias("line"))
+    line, words = F.col("line"), F.size(F.split("line", " "))
+    filler, notice = line.rlike(FILLER) | line.rlike(SLOT), line.rlike(NOTICE)
+    own = ~line.rlike(CHROME) & ((words >= 7) | ((words >= 3) & line.rlike(r"\d")))
+    content = F.when(filler, 0).when(notice, F.greatest(words - notice_words, F.lit(0))).when(own, words).otherwise(0)
+    return lines.select("ord", "domain", "page", F.xxhash64(masked(line)).alias("shape"), (filler | notice).alias("evidence"), content.alias("content"))
 
 
-def error_pages(pages: DataFrame, host_repeats: int = 2, wide_hosts: int = 5, sentence_words: int = 7, kept_sentences: int = 1) -> DataFrame:
+def error_pages(pages: DataFrame, host_share: float = 0.5, host_repeats: int = 3, notice_words: int = 60, kept_words: int = 8) -> DataFrame:
     """``ord`` of the pages (``ord, domain, url, html``) that show no real page.
 
-    A masked line is boilerplate if at least ``host_repeats`` different URLs of a host or ``wide_hosts`` hosts have it.
-    A page is reported if it has an evidence line and at most ``kept_sentences`` other lines of ``sentence_words``
-    words that are no boilerplate. Pages of null or blank html are never reported; an empty table gives no row.
+    A masked line is boilerplate if ``host_share`` of the host's different pages, and ``host_repeats`` at least, have it;
+    other hosts' pages count for nothing. A page is reported if it has an evidence line and at most ``kept_words`` words
+    of content (see ``page_lines``) that are no boilerplate. Pages of null or blank html are never reported; an empty
+    table gives no row.
     """
     real = pages.where(clean("html") != "")
-    lines = materialize(page_lines(real), "p2-lines")
-    by_host = lines.where("not evidence").groupBy("domain", "shape").agg(F.count_distinct("page").alias("n_pages"))
-    wide = by_host.groupBy("shape").agg(F.count("*").alias("n_hosts")).where(F.col("n_hosts") >= wide_hosts)
+    lines = materialize(page_lines(real, notice_words), "p2-lines")
+    n_pages = lines.groupBy("domain").agg(F.count_distinct("page").alias("n_pages"))
+    by_host = lines.where("content > 0 and not evidence").groupBy("domain", "shape").agg(F.count_distinct("page").alias("n")).where(F.col("n") >= host_repeats)
+    common = by_host.join(n_pages, "domain").where(F.col("n") >= host_share * F.col("n_pages")).select("domain", "shape")
     suspects = lines.where("evidence").select("ord").distinct()
-    rest = lines.join(suspects, "ord", "left_semi").where((~F.col("evidence")) & (F.col("words") >= sentence_words))
-    rest = rest.join(by_host.where(F.col("n_pages") >= host_repeats), ["domain", "shape"], "left_anti").join(wide, "shape", "left_anti")
-    real_text = rest.groupBy("ord").agg(F.count("*").alias("n")).where(F.col("n") > kept_sentences)
+    rest = lines.join(suspects, "ord", "left_semi").where("content > 0")
+    rest = rest.where("evidence").unionByName(rest.where("not evidence").join(common, ["domain", "shape"], "left_anti").select(rest.columns))
+    real_text = rest.groupBy("ord").agg(F.sum("content").alias("n")).where(F.col("n") > kept_words)
     return suspects.join(real_text, "ord", "left_anti")
 
 
