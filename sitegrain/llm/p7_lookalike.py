@@ -7,6 +7,8 @@ canonical form, and that form is joined back. Accents, case, punctuation, raised
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,16 +25,18 @@ INVISIBLE = "[­͏؜ᅟᅠ឴឵᠋-᠎​-‏‪-‮⁠-⁯︀-️﻿￹-￻]"
 LIGATURES = {"ﬀ": "ff", "ﬁ": "fi", "ﬂ": "fl", "ﬃ": "ffi", "ﬄ": "ffl", "ﬅ": "st", "ﬆ": "st", "Ĳ": "IJ", "ĳ": "ij", "Ǉ": "LJ", "ǉ": "lj", "Ǌ": "NJ", "ǌ": "nj"}
 SINGLE = {"K": "K", "Ω": "Ω", "Å": "Å", "∙": "·", ";": ";", "·": "·", "µ": "μ", "Ⅰ": "I", "Ⅴ": "V", "Ⅹ": "X", "Ⅼ": "L", "Ⅽ": "C", "Ⅾ": "D", "Ⅿ": "M", "ⅰ": "i", "ⅴ": "v", "ⅹ": "x", "ⅼ": "l", "ⅽ": "c", "ⅾ": "d", "ⅿ": "m"}
 
+# Wide and narrow forms of the half- and full-width block with their ordinary forms (without the filler, which is invisible), and Roman numerals of several letters.
+WIDTH = {chr(c): chr(int(d.split()[1], 16)) for c in range(0xFF01, 0xFFEF) if c != 0xFFA0 and (d := unicodedata.decomposition(chr(c)))}
+ROMAN = {chr(c): many for c in range(0x2160, 0x2180) if len(many := unicodedata.normalize("NFKC", chr(c))) > 1}
+
 
 def look(text: Column) -> Column:
     """The text with wide forms, look-alike letters, spaces and hyphens mapped and invisible characters removed."""
-    wide = "".join(chr(0xFF01 + i) for i in range(94))
-    plain = "".join(chr(0x21 + i) for i in range(94))
-    source = wide + CYRILLIC + GREEK + SPACES + HYPHENS + "".join(SINGLE)
-    target = plain + CYRILLIC_TWIN + GREEK_TWIN + " " * len(SPACES) + "-" * len(HYPHENS) + "".join(SINGLE.values())
-    out = F.translate(F.regexp_replace(text, INVISIBLE, ""), source, target)
-    for one, many in LIGATURES.items():
-        out = F.when(out.contains(one), F.replace(out, F.lit(one), F.lit(many))).otherwise(out)
+    source = "".join(WIDTH) + CYRILLIC + GREEK + SPACES + HYPHENS + "".join(SINGLE)
+    target = "".join(WIDTH.values()) + CYRILLIC_TWIN + GREEK_TWIN + " " * len(SPACES) + "-" * len(HYPHENS) + "".join(SINGLE.values())
+    out = F.translate(F.regexp_replace(text, INVISIBLE + "|[\uffa0\u3164]", ""), source, target)
+    for one, many in (LIGATURES | ROMAN).items():
+        out = F.replace(out, F.lit(one), F.lit(many))
     return F.trim(F.regexp_replace(out, "[ \\t\\r\\n]+", " "))
 
 
