@@ -1,0 +1,18 @@
+import datetime
+import warnings
+
+import pytest
+
+from sitegrain.llm.p3_survivor import truth_discovery
+
+AT = datetime.datetime(2024, 1, 1)
+CLAIMS = [(1, "f", "a", "x", AT, 1), (1, "f", "b", "y", AT, 2), (1, "f", "a", "z", AT, 3), (2, "f", "a", "x", AT, 4), (2, "f", "b", "y", AT, 5)]
+
+
+def test_votes_report_that_they_did_not_converge(spark):
+    claims = spark.createDataFrame(CLAIMS, "entity long, field string, value string, source string, at timestamp, ord long")
+    with pytest.warns(RuntimeWarning, match="not converged"):
+        truth_discovery(claims, "sum", rounds=1)
+    with warnings.catch_warnings():
+        warnings.simplefilter("error", RuntimeWarning)
+        truth_discovery(claims, "sum")
