@@ -12,22 +12,25 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+_OWN: dict[str, str] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The parquet table ``name`` below ``sf_dir``."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder named by the session; a temporary one is made only where none is set (local tests)."""
+    """The shared folder named by the session. Where none is named, a session within one JVM makes its own; a cluster raises."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base:
         return base.rstrip("/")
-    known = spark.sparkContext._jsc.sc().getCheckpointDir()
-    if known.isDefined():
-        return known.get().rstrip("/")
-    base = tempfile.mkdtemp(prefix="sitegrain-")
-    spark.sparkContext.setCheckpointDir(base)
-    return base
+    master = spark.conf.get("spark.master", "")
+    if not (master == "local" or master.startswith("local[")):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    if "dir" not in _OWN:
+        _OWN["dir"] = tempfile.mkdtemp(prefix="sitegrain-")
+    return _OWN["dir"]
 
 
 def materialize(df: DataFrame, label: str = "step") -> DataFrame:
@@ -35,7 +38,8 @@ def materialize(df: DataFrame, label: str = "step") -> DataFrame:
     spark = df.sparkSession
     path = f"{scratch_dir(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    jvm = spark._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(target)
-    return spark.read.parquet(path)
+    jvm = getattr(spark, "_jvm", None)
+    if jvm is not None:
+        target = jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(target)
+    return spark.read.schema(df.schema).parquet(path)
