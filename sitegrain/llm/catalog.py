@@ -6,8 +6,9 @@ from sitegrain.llm.oracles import P3_FOUND
 from sitegrain.llm.p1_canonical import p1_found, p1_unmatched
 from sitegrain.llm.p2_residue import p2_found
 from sitegrain.llm.p3_survivor import p3_found, p3_votes
+from sitegrain.llm.p4_addresses import p4_found, p4_parsed
 from sitegrain.llm.p7_lookalike import p7_canonical, p7_found
 from sitegrain.llm.p10_spans import p10_found, p10_shares
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_unmatched, p2_found, p3_found, p3_votes, p7_found, p7_canonical, p10_found, p10_shares)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_unmatched, p2_found, p3_found, p3_votes, p4_found, p4_parsed, p7_found, p7_canonical, p10_found, p10_shares)}
 SQL = {"p3_found": P3_FOUND}
