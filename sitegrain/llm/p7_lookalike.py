@@ -30,14 +30,23 @@ WIDTH = {chr(c): chr(int(d.split()[1], 16)) for c in range(0xFF01, 0xFFEF) if c
 ROMAN = {chr(c): many for c in range(0x2160, 0x2180) if len(many := unicodedata.normalize("NFKC", chr(c))) > 1}
 
 
+def is_ascii(text: Column) -> Column:
+    """True where the text has ASCII characters alone; null gives null."""
+    return F.octet_length(text) == F.length(text)
+
+
 def look(text: Column) -> Column:
     """The text with wide forms, look-alike letters, spaces and hyphens mapped and invisible characters removed."""
+    return F.trim(F.regexp_replace(F.when(is_ascii(text), text).otherwise(_mapped(text)), "[ \\t\\r\\n]+", " "))
+
+
+def _mapped(text: Column) -> Column:
     source = "".join(WIDTH) + CYRILLIC + GREEK + SPACES + HYPHENS + "".join(SINGLE)
     target = "".join(WIDTH.values()) + CYRILLIC_TWIN + GREEK_TWIN + " " * len(SPACES) + "-" * len(HYPHENS) + "".join(SINGLE.values())
     out = F.translate(F.regexp_replace(text, INVISIBLE + "|[\uffa0\u3164]", ""), source, target)
     for one, many in (LIGATURES | ROMAN).items():
         out = F.replace(out, F.lit(one), F.lit(many))
-    return F.trim(F.regexp_replace(out, "[ \\t\\r\\n]+", " "))
+    return out
 
 
 def canonical_forms(rows: DataFrame, text: str = "snippet") -> DataFrame:
@@ -45,12 +54,16 @@ def canonical_forms(rows: DataFrame, text: str = "snippet") -> DataFrame:
 
     Null text stays null and blank text becomes ''; every other column is kept, one row for each input row. Texts of
     any length are compared whole. Classes of one mapped text are their own canonical form, so that only texts that the collation
-    merges (composed against combining accents) are joined back.
+    merges (composed against combining accents) are joined back. Text of ASCII alone is its own form and takes no part
+    in the collation.
     """
     mapped = rows.withColumn("_look", look(F.col(text)))
-    classes = mapped.where("_look is not null").groupBy(F.collate("_look", "UNICODE").alias("_class")).agg(F.min("_look").alias("_first"), F.max("_look").alias("_last")).where("_first <> _last")
-    joined = mapped.join(classes.select("_class", "_first"), F.collate(mapped["_look"], "UNICODE") == F.col("_class"), "left")
-    return joined.withColumn("canonical", F.coalesce("_first", "_look")).drop("_look", "_class", "_first")
+    plain = mapped.where("_look is null or octet_length(_look) = length(_look)").withColumnRenamed("_look", "canonical")
+    marked = mapped.where("octet_length(_look) <> length(_look)")
+    key = F.collate("_look", "UNICODE")
+    classes = marked.groupBy(key.alias("_class")).agg(F.min("_look").alias("_first"), F.max("_look").alias("_last")).where("_first <> _last")
+    joined = marked.join(classes.select("_class", "_first"), F.collate(marked["_look"], "UNICODE") == F.col("_class"), "left")
+    return joined.withColumn("canonical", F.coalesce("_first", "_look")).drop("_look", "_class", "_first").unionByName(plain)
 
 
 def snippet_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
