@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sitegrain.functions.text import clean
-from sitegrain.sources.tables import table
+from sitegrain.sources.tables import materialize, table
 
 FIELDS = ["canonical_org_name", "hq_phone", "hq_address", "location_count", "research_url", "org_subcategory"]
 # Letters of other scripts that are drawn like Latin ones, and their Latin twins, in the same order.
@@ -35,9 +35,13 @@ def is_ascii(text: Column) -> Column:
     return F.octet_length(text) == F.length(text)
 
 
+def _squeezed(text: Column) -> Column:
+    return F.regexp_replace(text, "[ \\t\\r\\n]+", " ")
+
+
 def look(text: Column) -> Column:
     """The text with wide forms, look-alike letters, spaces and hyphens mapped and invisible characters removed."""
-    return F.trim(F.regexp_replace(F.when(is_ascii(text), text).otherwise(_mapped(text)), "[ \\t\\r\\n]+", " "))
+    return F.trim(_squeezed(_mapped(text)))
 
 
 def _mapped(text: Column) -> Column:
@@ -57,13 +61,14 @@ def canonical_forms(rows: DataFrame, text: str = "snippet") -> DataFrame:
     merges (composed against combining accents) are joined back. Text of ASCII alone is its own form and takes no part
     in the collation.
     """
-    mapped = rows.withColumn("_look", look(F.col(text)))
-    plain = mapped.where("_look is null or octet_length(_look) = length(_look)").withColumnRenamed("_look", "canonical")
-    marked = mapped.where("octet_length(_look) <> length(_look)")
-    key = F.collate("_look", "UNICODE")
-    classes = marked.groupBy(key.alias("_class")).agg(F.min("_look").alias("_first"), F.max("_look").alias("_last")).where("_first <> _last")
-    joined = marked.join(classes.select("_class", "_first"), F.collate(marked["_look"], "UNICODE") == F.col("_class"), "left")
-    return joined.withColumn("canonical", F.coalesce("_first", "_look")).drop("_look", "_class", "_first").unionByName(plain)
+    plain = rows.where(F.col(text).isNull() | is_ascii(F.col(text))).withColumn("canonical", F.trim(_squeezed(F.col(text))))
+    marked = materialize(rows.where(~is_ascii(F.col(text))).withColumn("_look", look(F.col(text))), "p7-looks")
+    turned = marked.where(is_ascii(F.col("_look"))).withColumnRenamed("_look", "canonical")
+    kept = marked.where(~is_ascii(F.col("_look")))
+    classes = kept.groupBy(F.collate("_look", "UNICODE").alias("_class")).agg(F.min("_look").alias("_first"), F.max("_look").alias("_last")).where("_first <> _last")
+    joined = kept.join(classes.select("_class", "_first"), F.collate(kept["_look"], "UNICODE") == F.col("_class"), "left")
+    merged = joined.withColumn("canonical", F.coalesce("_first", "_look")).drop("_look", "_class", "_first")
+    return merged.unionByName(turned).unionByName(plain)
 
 
 def snippet_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -77,7 +82,8 @@ def snippet_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs of rows of one domain and field whose snippets look the same but differ."""
     rows = canonical_forms(snippet_rows(spark, sf_dir).where("domain is not null"))
-    keyed = rows.select("field_name", "ord", F.md5(F.concat_ws("\n", "field_name", "domain", "canonical")).alias("cls"), F.xxhash64("snippet").alias("form"))
+    keyed = rows.select("field_name", "ord", F.unhex(F.md5(F.concat_ws("\n", "field_name", "domain", "canonical"))).alias("cls"), F.xxhash64("snippet").alias("form"))
+    keyed = materialize(keyed, "p7-keyed")
     mixed = keyed.groupBy("cls").agg(F.min("form").alias("lo"), F.max("form").alias("hi")).where("lo <> hi").select("cls")
     members = keyed.join(mixed, "cls", "left_semi")
     a = members.select("cls", "field_name", F.col("ord").cast("long").alias("ord_a"), F.col("form").alias("fa"))
