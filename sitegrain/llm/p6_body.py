@@ -177,9 +177,8 @@ def main_bodies(pages: DataFrame) -> DataFrame:
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The phrases that belong to the main body of their page."""
     phrases = table(spark, sf_dir, "page_phrases").select("phrase_id", F.col("page_ord").alias("ord"), "phrase").where(~is_blank("phrase"))
-    asked = table(spark, sf_dir, "page_fetch").select("ord", "html").join(phrases.select("ord").distinct(), "ord", "left_semi")
     text = F.replace("body", F.lit("\n"), F.lit(" "))
-    hit = phrases.join(main_bodies(asked), "ord").where(F.contains(text, F.trim("phrase")))
+    hit = phrases.join(main_bodies(table(spark, sf_dir, "page_fetch")), "ord").where(F.contains(text, F.trim("phrase")))
     return hit.select(F.col("phrase_id").cast("long").alias("phrase_id")).distinct()
 
 
