@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from sitegrain.functions.text import clean, is_blank
 from sitegrain.llm.p2_residue import dummy_street, dummy_text
+from sitegrain.llm.pairs import row_pairs
 from sitegrain.sources.tables import materialize, table
 
 # The dictionaries of the locale en_US.
@@ -241,7 +242,7 @@ def same_addresses(rows: DataFrame, states: tuple[tuple[str, str], ...], zips: D
     """
     parsed = materialize(parse_addresses(rows, states).where("number <> '' and name <> ''"), "p4-parsed")
     forms = parsed.groupBy(*COMPONENTS).agg(F.min("ord").alias("form"))
-    members = materialize(parsed.join(forms, COMPONENTS).select("form", "ord", "raw"), "p4-members")
+    members = materialize(parsed.join(forms, COMPONENTS).select(F.col("form").alias("grp"), "raw", "ord"), "p4-members")
     towns = zips.groupBy("zip").agg(F.min(F.lower("city")).alias("_town"))
     forms = forms.join(towns, "zip", "left").withColumn("town", F.coalesce(F.expr("nullif(city, '')"), "_town", F.lit(""))).drop("_town")
     head, tail = F.substring("name", 1, 4), F.expr("right(name, 4)")
@@ -250,16 +251,11 @@ def same_addresses(rows: DataFrame, states: tuple[tuple[str, str], ...], zips: D
         F.when(F.col("town") != "", F.xxhash64("number", head, "town", F.lit("c"))), F.when(F.col("town") != "", F.xxhash64("number", tail, "town", F.lit("d"))),
         F.xxhash64("number", "name", "feature", F.lit("e")),
     )
-    keyed = forms.withColumn("keys", F.array_compact(keys)).withColumn("key", F.explode("keys"))
+    keyed = forms.select("form", *COMPONENTS, "town", F.explode(F.array_compact(keys)).alias("key"))
     a, b = keyed.alias("a"), keyed.alias("b")
-    met = a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.form") < F.col("b.form")))
-    met = met.where((F.array_intersect("a.keys", "b.keys")[0] == F.col("a.key")) & same_place("a", "b")).select(F.col("a.form").alias("fa"), F.col("b.form").alias("fb"))
-    own = members.groupBy("form").agg(F.min("raw").alias("lo"), F.max("raw").alias("hi")).where("lo <> hi").select(F.col("form").alias("fa"), F.col("form").alias("fb"))
-    pairs = met.unionByName(own)
-    left = members.select(F.col("form").alias("fa"), F.col("ord").alias("oa"), F.col("raw").alias("ra"))
-    right = members.select(F.col("form").alias("fb"), F.col("ord").alias("ob"), F.col("raw").alias("rb"))
-    out = pairs.join(left, "fa").join(right, "fb").where("ra <> rb and (fa <> fb or oa < ob)")
-    return out.select(F.least("oa", "ob").alias("ord_a"), F.greatest("oa", "ob").alias("ord_b"))
+    met = a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.form") < F.col("b.form"))).where(same_place("a", "b"))
+    pairs = met.select(F.col("a.form").alias("ga"), F.col("b.form").alias("gb")).distinct()
+    return row_pairs(members, pairs)
 
 
 def state_list(spark: SparkSession, sf_dir: str) -> tuple[tuple[str, str], ...]:
