@@ -11,7 +11,8 @@ from sitegrain.llm.p5_names import p5_entities, p5_found
 from sitegrain.llm.p6_body import p6_bodies, p6_found
 from sitegrain.llm.p7_lookalike import p7_canonical, p7_found
 from sitegrain.llm.p8_leaks import p8_found, p8_paraphrases
+from sitegrain.llm.p9_mix import p9_mix, p9_shares
 from sitegrain.llm.p10_spans import p10_found, p10_shares
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_unmatched, p2_found, p3_found, p3_votes, p4_found, p4_parsed, p5_found, p5_entities, p6_found, p6_bodies, p7_found, p7_canonical, p8_found, p8_paraphrases, p10_found, p10_shares)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_unmatched, p2_found, p3_found, p3_votes, p4_found, p4_parsed, p5_found, p5_entities, p6_found, p6_bodies, p7_found, p7_canonical, p8_found, p8_paraphrases, p9_mix, p9_shares, p10_found, p10_shares)}
 SQL = {"p3_found": P3_FOUND}
