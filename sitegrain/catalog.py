@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from sitegrain.plans import places  # noqa: F401  (registers its queries)
+from sitegrain.plans.registry import QUERIES, SQL
 
-QUERIES: dict[str, Callable] = {}
-SQL: dict[str, str] = {}
+__all__ = ["QUERIES", "SQL"]
