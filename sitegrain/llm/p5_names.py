@@ -72,7 +72,7 @@ def parse(name: str, states: tuple[str, ...] = ()) -> tuple[str, str, str, str]:
     text = re.sub(r"\b([a-z])\.(?=[a-z]\b)", r"\1", text).replace(".", " ")
     text = re.sub(r"\s+", " ", text.replace("&", " and ")).strip()
     state = ""
-    for s in states:
+    for s in states if " of " in text else ():
         if re.search(rf"\bof {s}\b", text):
             state = max(state, s, key=len)
     if state:
@@ -141,8 +141,8 @@ def similar(names: DataFrame, cosine: float = COSINE) -> DataFrame:
     ranked = weighted.groupBy("id").agg(F.sort_array(F.collect_list(F.struct((-F.col("w")).alias("v"), "gram"))).alias("g"), F.sum(F.col("w") * F.col("w")).alias("norm"))
     kept = F.expr(f"filter(g, (x, i) -> norm - aggregate(slice(g, 1, i), 0D, (s, y) -> s + y.v * y.v) >= {cosine * cosine} * norm)")
     rare = ranked.select("id", F.explode(F.transform(kept, lambda x: x["gram"])).alias("gram")).join(names, "id")
-    rare = rare.withColumn("key", F.xxhash64("scope", "gram", F.substring("first", 1, 1)))
-    a, b = rare.drop("gram").alias("a"), rare.drop("gram").alias("b")
+    rare = rare.select(F.xxhash64("scope", "gram", F.substring("first", 1, 1)).alias("key"), "id", "scope", "core", "kind", "state", "first")
+    a, b = rare.alias("a"), rare.alias("b")
     met = a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.id") < F.col("b.id")))
     met = met.where((F.col("a.scope") == F.col("b.scope")) & compatible("a", "b") & _alike(F.col("a.core"), F.col("b.core")))
     pairs = materialize(met.select(F.col("a.id").alias("a"), F.col("b.id").alias("b")).distinct(), "p5-pairs")
@@ -199,7 +199,7 @@ def variant_groups(rows: DataFrame, states: tuple[str, ...]) -> tuple[DataFrame,
     code = F.min("ord") * 2 + F.when(F.col("field_name") == "canonical_org_name", 0).otherwise(1)
     names = materialize(each.groupBy(*parts).agg(code.alias("id")), "p5-names")
     members = materialize(each.join(names, parts).select(F.col("id").alias("grp"), "raw", "ord"), "p5-members")
-    vectors = names.select("id", F.concat_ws("\n", "field_name", "scope").alias("scope"), "core", "kind", "state", "first")
+    vectors = names.select("id", F.xxhash64("field_name", "scope").alias("scope"), "core", "kind", "state", "first")
     groups = average_linkage(similar(vectors)).join(vectors, "id")
     a, b = groups.alias("a"), groups.alias("b")
     pairs = a.join(b, (F.col("a.grp") == F.col("b.grp")) & (F.col("a.id") < F.col("b.id"))).where(compatible("a", "b"))
