@@ -43,9 +43,9 @@ FILLERS = (
     r"^(title|text|heading|headline|content|description) goes here|describe your (clinic|practice|company|business)|insert (headline|paragraph|text|title|image|your)|^your (company|practice|clinic|business) name|welcome to your (practice|clinic|company|site)\b|(text|page) (in the page builder|builder)|click to (select|edit)|edit this text|replace (it|this) before|delete or edit it",
     r"^\[[^\]]{2,80}\]$",
 )
-NOTICE, FILLER = ("(?i)" + "|".join(x) for x in (NOTICES, FILLERS))
-# What sites put around their pages: consent, legal lines, teasers and ways back.
-CHROME = "(?i)" + "|".join((
+NOTICE, FILLER = ("|".join(x) for x in (NOTICES, FILLERS))
+# Both are tried on lower-case lines. What sites put around their pages: consent, legal lines, teasers and ways back.
+CHROME = "|".join((
     r"\b(cookies?|tracking files|store small files)\b|\b(reject|accept) all\b|^©|^\(c\) |^copyright\b|\ball rights reserved\b",
     r"^(site map|sitemap|terms of (use|service)|privacy (policy|notice))\b|\bfollows civil rights law\b|\breplaces the advice of your (own )?doctor\b|\bwork better with javascript\b",
     r"^(related|most read|latest news|upcoming|see also|read next|you may also like)\b ?:|^(subscribe to|sign up for)\b.{0,60}\b(news)?letter\b|^follow\b.{0,60}\b(networks|social media|facebook|twitter|instagram)\b|^book now\b|\b(back to|return to|visit) (the |our )?home ?page\b",
@@ -78,11 +78,12 @@ def page_lines(real: DataFrame, notice_words: int) -> DataFrame:
     ``notice_words``, what its line has beyond is content; filler and unfilled slots have none at any length.
     """
     lines = real.select("ord", F.coalesce("domain", F.lit("")).alias("domain"), F.xxhash64(page_key("url")).alias("page"), F.explode(visible_lines(F.col("html"))).alias("line"))
-    line, words = F.col("line"), F.size(F.split("line", " "))
-    filler, notice = line.rlike(FILLER) | line.rlike(SLOT), line.rlike(NOTICE)
-    own = ~line.rlike(CHROME) & ((words >= 7) | ((words >= 3) & line.rlike(r"\d")))
-    content = F.when(filler, 0).when(notice, F.greatest(words - notice_words, F.lit(0))).when(own, words).otherwise(0)
-    return lines.select("ord", "domain", "page", F.xxhash64(masked(line)).alias("shape"), (filler | notice).alias("evidence"), content.alias("content"))
+    low = lines.withColumns({"low": F.lower("line"), "words": F.size(F.split("line", " "))})
+    tried = low.withColumns({"filler": F.col("low").rlike(FILLER) | F.col("line").rlike(SLOT), "notice": F.col("low").rlike(NOTICE)})
+    words = F.col("words")
+    own = ((words >= 7) | ((words >= 3) & F.col("line").rlike(r"\d"))) & ~F.col("low").rlike(CHROME)
+    content = F.when(F.col("filler"), 0).when(F.col("notice"), F.greatest(words - notice_words, F.lit(0))).when(own, words).otherwise(0)
+    return tried.select("ord", "domain", "page", F.xxhash64(masked(F.col("line"))).alias("shape"), (F.col("filler") | F.col("notice")).alias("evidence"), content.alias("content"))
 
 
 def error_pages(pages: DataFrame, host_share: float = 0.5, host_repeats: int = 3, notice_words: int = 60, kept_words: int = 8) -> DataFrame:
