@@ -14,7 +14,7 @@ from pyspark.sql.window import Window
 def rolling_rate(rows: DataFrame, per: list[str], at: str, ord_: str, size: int = 20) -> DataFrame:
     """With ``rate``: of the last ``size`` rows of the group, rows a second; 0 for the first row."""
     w = Window.partitionBy(*per).orderBy(at, ord_).rowsBetween(-(size - 1), 0)
-    span = F.greatest(F.col(at).cast("double") - F.min(F.col(at).cast("double")).over(w), F.lit(0.001))
+    span = F.greatest(F.unix_micros(F.col(at).cast("timestamp")) / 1e6 - F.min(F.unix_micros(F.col(at).cast("timestamp"))).over(w) / 1e6, F.lit(0.001))
     return rows.withColumn("rate", F.round((F.count("*").over(w) - 1) / span, 6))
 
 
@@ -29,7 +29,7 @@ def running_counts(rows: DataFrame, per: list[str], flags: dict[str, Column], ev
     """Every ``every``-th row of the group with its number and the counts of the flags so far."""
     w = Window.partitionBy(*per).orderBy(ord_)
     run = w.rowsBetween(Window.unboundedPreceding, 0)
-    out = rows.select(*per, ord_, F.row_number().over(w).alias("row_no"), *[F.sum(F.when(f, 1).otherwise(0)).over(run).alias(n) for n, f in flags.items()])
+    out = rows.select(*per, ord_, F.row_number().over(w).cast("long").alias("row_no"), *[F.sum(F.when(f, 1).otherwise(0)).over(run).alias(n) for n, f in flags.items()])
     return out.where(F.col("row_no") % every == 0)
 
 
@@ -50,7 +50,8 @@ def early_stop(rows: DataFrame, per: list[str], kind: str, found: str, streak: i
 
 def first_k(rows: DataFrame, per: list[str], order: list[Column], k: int) -> DataFrame:
     """The first ``k`` rows of each group with ``rank``. Spark keeps k rows of a group in each map task before the shuffle."""
-    return rows.withColumn("rank", F.row_number().over(Window.partitionBy(*per).orderBy(*order))).where(F.col("rank") <= k)
+    ranked = rows.withColumn("rank", F.row_number().over(Window.partitionBy(*per).orderBy(*order))).where(F.col("rank") <= k)
+    return ranked.withColumn("rank", F.col("rank").cast("long"))
 
 
 def sample_per_group(rows: DataFrame, per: list[str], id_: str, k: int, seed: int = 7) -> DataFrame:

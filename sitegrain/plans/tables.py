@@ -494,7 +494,7 @@ def first_misses(spark: SparkSession, d: str) -> DataFrame:
 def text_and_dates(spark: SparkSession, d: str) -> DataFrame:
     """Keys of text, and dates as text, seconds and differences."""
     at = F.col("collected_at")
-    return _t(spark, d, "documents").select(F.col("doc_id").alias("ord"), alnum_key("title").alias("key"), F.length("text").alias("chars"), F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("at"), F.unix_timestamp(at).alias("seconds"), F.datediff("loaded_at", at).cast("long").alias("days"))
+    return _t(spark, d, "documents").select(F.col("doc_id").alias("ord"), alnum_key("title").alias("key"), F.length("text").cast("long").alias("chars"), F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("at"), F.unix_timestamp(at).alias("seconds"), F.datediff("loaded_at", at).cast("long").alias("days"))
 
 
 @query(r"SELECT ord, trim(regexp_replace(regexp_replace(regexp_replace(coalesce(snippet, ''), '\n{3,}', chr(10) || chr(10), 'g'), ' {2,}', ' ', 'g'), '^\s+|\s+$', '', 'g')) AS squeezed, md5(coalesce(snippet, '')) AS hash FROM locations")

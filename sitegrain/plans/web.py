@@ -46,7 +46,7 @@ def block_pages(spark: SparkSession, d: str) -> DataFrame:
   WHEN length({H}) >= {pg.LARGE} AND length({_VISIBLE}) < {pg.SHELL} THEN 'spa_shell' ELSE 'ok' END AS quality, length({_VISIBLE}) AS visible_chars FROM page_fetch""")
 def content_qualities(spark: SparkSession, d: str) -> DataFrame:
     """H1, H2: content quality and visible text."""
-    return _pages(spark, d).select("ord", pg.content_quality("html").alias("quality"), F.length(pg.visible_text("html")).alias("visible_chars"))
+    return _pages(spark, d).select("ord", pg.content_quality("html").alias("quality"), F.length(pg.visible_text("html")).cast("long").alias("visible_chars"))
 
 
 def _inner(x: str) -> str:
@@ -60,7 +60,7 @@ _HEADS = " || ".join(rf"regexp_extract_all({H}, '(?is)<h{i}\b[^>]*>(.*?)</h{i}>'
   substr({_inner(f"regexp_extract({H}, '(?is)<footer\\b[^>]*>(.*?)</footer>', 1)")}, 1, 1500) AS footer, len(regexp_extract_all({H}, '(?is)<script\b[^>]*application/ld\+json[^>]*>(.*?)</script>', 1)) AS n_json_ld FROM page_fetch""")
 def page_parts(spark: SparkSession, d: str) -> DataFrame:
     """Title, headings, footer and structured data."""
-    return _pages(spark, d).select("ord", pg.page_title("html").alias("title"), F.array_join(pg.headings("html"), " | ").alias("headings"), pg.footer_text("html").alias("footer"), F.size(pg.json_ld("html")).alias("n_json_ld"))
+    return _pages(spark, d).select("ord", pg.page_title("html").alias("title"), F.array_join(pg.headings("html"), " | ").alias("headings"), pg.footer_text("html").alias("footer"), F.size(pg.json_ld("html")).cast("long").alias("n_json_ld"))
 
 
 @query()
@@ -133,7 +133,7 @@ def location_urls(spark: SparkSession, d: str) -> DataFrame:
 def url_keys(spark: SparkSession, d: str) -> DataFrame:
     """URL keys, hosts and paths."""
     s = "source_url"
-    return table(spark, d, "locations").select("ord", ul.norm_url(s).alias("norm"), ul.dedup_key(s).alias("dedup"), ul.url_host(s).alias("host"), ul.page_url(s).alias("page"), ul.parent_path(s).alias("parent"), F.size(ul.segments(s)).alias("depth"))
+    return table(spark, d, "locations").select("ord", ul.norm_url(s).alias("norm"), ul.dedup_key(s).alias("dedup"), ul.url_host(s).alias("host"), ul.page_url(s).alias("page"), ul.parent_path(s).alias("parent"), F.size(ul.segments(s)).cast("long").alias("depth"))
 
 
 @query(f"""WITH a AS (SELECT ord, domain, regexp_replace(regexp_replace(url, '[?#].*$', ''), '/+$', '') AS page, {q.segments('url')} AS s FROM page_fetch WHERE trim(coalesce(url, '')) <> '' AND domain IS NOT NULL
