@@ -1,10 +1,11 @@
 """DuckDB SQL of the queries that plain SQL can express, built on the patterns of the Spark side.
 
-p1, p2 and p7 have none: they rest on similarity scores, HTML text and a Unicode collation.
+p1, p2, p4, p5, p6 and p9 have none: they rest on similarity scores, parsed text, HTML and a seeded choice.
 """
 
 from __future__ import annotations
 
+from sitegrain.llm import p7_lookalike as looks
 from sitegrain.llm.p2_residue import DUMMY_STREET, EMPTY_VALUE, FILLER_VALUE, MESSAGE_VALUE, SLOT_VALUE
 
 
@@ -48,3 +49,34 @@ WITH keyed AS (
 )
 SELECT field_name, group_ord, ord FROM ranked WHERE k = 1
 """
+
+
+def _look(c: str) -> str:
+    """The mapping of p7 with composed accents, which its collation equates."""
+    source = "".join(looks.WIDTH) + looks.CYRILLIC + looks.GREEK + looks.SPACES + looks.HYPHENS + "".join(looks.SINGLE)
+    target = "".join(looks.WIDTH.values()) + looks.CYRILLIC_TWIN + looks.GREEK_TWIN + " " * len(looks.SPACES) + "-" * len(looks.HYPHENS) + "".join(looks.SINGLE.values())
+    out = f"translate(regexp_replace({c}, {_quoted(looks.INVISIBLE + '|[\uffa0\u3164]')}, '', 'g'), {_quoted(source)}, {_quoted(target)})"
+    for one, many in (looks.LIGATURES | looks.ROMAN).items():
+        out = f"replace({out}, '{one}', '{many}')"
+    return f"nfc_normalize(trim(regexp_replace({out}, '[ \\t\\r\\n]+', ' ', 'g')))"
+
+
+_SNIPPETS = "SELECT 'location' AS field_name, domain, ord, snippet AS s FROM locations" + "".join(f" UNION ALL SELECT '{f}', domain, ord, {f}__snippet FROM orgs" for f in looks.FIELDS)
+P7_FOUND = f"""
+WITH a AS (SELECT field_name, domain, ord, s, {_look("s")} AS k FROM ({_SNIPPETS}) x WHERE trim(coalesce(s, '')) <> '' AND domain IS NOT NULL)
+SELECT x.field_name, x.ord AS ord_a, y.ord AS ord_b FROM a x JOIN a y ON x.field_name = y.field_name AND x.domain = y.domain AND x.k = y.k AND x.s <> y.s AND x.ord < y.ord
+"""
+
+_RUNS = r"SELECT DISTINCT {id}, array_to_string(w[i:i + 11], ' ') AS run FROM (SELECT {id}, w, unnest(range(1, len(w) - 10)) AS i FROM (SELECT {id}, regexp_extract_all(lower(text), '[\p{{L}}\p{{N}}]+') AS w FROM {table} WHERE text IS NOT NULL) a) b"
+P8_FOUND = f"""
+WITH i AS ({_RUNS.format(id="item_id", table="eval_items")}), d AS ({_RUNS.format(id="doc_id", table="documents")})
+SELECT DISTINCT item_id, doc_id FROM i JOIN d USING (run)
+"""
+
+P10_FOUND = """
+WITH w AS (SELECT DISTINCT doc_id, md5(substr(text, i, 200)) AS k FROM (SELECT doc_id, text, unnest(range(1, length(text) - 198)) AS i FROM documents WHERE length(text) >= 200) a),
+r AS (SELECT k FROM w GROUP BY k HAVING count(*) > 1), s AS (SELECT doc_id, k FROM w JOIN r USING (k))
+SELECT DISTINCT a.doc_id AS doc_a, b.doc_id AS doc_b FROM s a JOIN s b ON a.k = b.k AND a.doc_id < b.doc_id
+"""
+
+SQL = {"p3_found": P3_FOUND, "p7_found": P7_FOUND, "p8_found": P8_FOUND, "p10_found": P10_FOUND}

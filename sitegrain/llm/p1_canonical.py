@@ -31,7 +31,7 @@ STATE_SHORT = {
 }
 # Other names that people use for a specialty, by the entry's name.
 SPECIALTY_OTHER = {
-    "Cardiology": "cardio;heart care;heart vascular;heart and vascular;heart;cardiac care;cardiovascular;heart disease",
+    "Cardiology": "cardio;heart care;heart vascular;heart and vascular;heart;cardiac care;cardiovascular;cardiovascular medicine;heart disease",
     "Dermatology": "derm;skin care;skin health;skin;skin disease;dermatologic care",
     "Endocrinology": "endo;hormone disorders;diabetes endocrine;diabetes and endocrine;diabetes;hormones;thyroid care",
     "Gastroenterology": "gi;gastro;digestive health;digestive care;digestive disease",
@@ -78,7 +78,7 @@ SPECIALTY_OTHER = {
     "Sports Medicine": "sports med;sport medicine;sports injuries;sports;athletic medicine",
     "Emergency Medicine": "er;emerg med;em;emergency;emergency room;emergency care;emergency med",
     "Neurosurgery": "neuro surgery;brain surgery;neurosurg;spine surgery;brain and spine surgery",
-    "Palliative Care": "palliative;hospice;hospice care;comfort care;palliative medicine;end of life care",
+    "Palliative Care": "palliative;hospice;hospice care;hospice palliative;hospice and palliative;hospice and palliative care;comfort care;palliative medicine;end of life care",
     "Occupational Health": "occ health;occupational med;occupational medicine;occ med;work health;workplace health;employee health",
     "Multispecialty": "multi specialty;multiple specialties;multi specialty group;all specialties;many specialties",
 }
