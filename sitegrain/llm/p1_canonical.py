@@ -98,9 +98,8 @@ def norm(value: Column) -> Column:
 
 def bigrams(text: Column) -> Column:
     """The distinct character pairs of the words, each word padded at both ends."""
-    words = F.filter(F.split(text, " "), lambda w: w != "")
-    grams = F.transform(words, lambda w: F.transform(F.sequence(F.lit(1), F.length(w) + 1), lambda i: F.substring(F.concat(F.lit("^"), w, F.lit("$")), i, F.lit(2))))
-    return F.array_distinct(F.flatten(grams))
+    padded = F.concat(F.lit("^"), F.regexp_replace(text, " +", "\\$ ^"), F.lit("$"))
+    return F.array_distinct(F.regexp_extract_all(padded, F.lit("(?=([^ ]{2}))"), 1))
 
 
 def labels(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -17,7 +17,7 @@ from sitegrain.functions.urls import page_key
 from sitegrain.sources.tables import materialize, table
 
 SLOT = (
-    r"\{\{.*?\}\}|\$\{.*?\}|<%.*?%>|%%\w+%%|@@[\w.]+@@|__[A-Za-z][\w.]*__|\[\[.*?\]\]|\{#?[A-Za-z_][\w.|]*\}|\{%.*?%\}|\[[a-z]+(_[a-z]+)*\]"
+    r"\{\{[^{}]*\}\}|\$\{[^{}]*\}|<%[^%<]*%>|%%\w+%%|@@[\w.]+@@|__[A-Za-z][\w.]*__|\[\[[^\[\]]*\]\]|\{#?[A-Za-z_][\w.|]*\}|\{%[^%{]*%\}|\[[a-z]+(_[a-z]+)*\]"
 )
 # The phrases that stand behind the number of an HTTP error; a bare number may be that of a house.
 REASON = (
@@ -39,7 +39,7 @@ NOTICES = (
     r"^(site )?under construction|coming soon|check back (later|soon)|being built here|site is on its way|planned maintenance|down for maintenance|scheduled maintenance|under maintenance|launching soon|domain is (parked|for sale)",
 )
 FILLERS = (
-    r"\blorem\b.*\bipsum\b|\bipsum\b.*\blorem\b|dolor sit amet|sample text\b|dummy (copy|text)|placeholder (paragraph|text)|^(asdf|jkl|qwer\w*|xx+|blah|test|foo|bar|text)( (asdf|jkl|qwer\w*|xx+|blah|test|foo|bar|text))*\W*$|blah blah|text text text|body copy to follow|(your|body|main) (text|copy) (here|to follow)|hello world!|first post of this theme",
+    r"\blorem\b.{0,80}\bipsum\b|\bipsum\b.{0,80}\blorem\b|dolor sit amet|sample text\b|dummy (copy|text)|placeholder (paragraph|text)|^(asdf|jkl|qwer\w*|xx+|blah|test|foo|bar|text)( (asdf|jkl|qwer\w*|xx+|blah|test|foo|bar|text))*\W*$|blah blah|text text text|body copy to follow|(your|body|main) (text|copy) (here|to follow)|hello world!|first post of this theme",
     r"^(title|text|heading|headline|content|description) goes here|describe your (clinic|practice|company|business)|insert (headline|paragraph|text|title|image|your)|^your (company|practice|clinic|business) name|welcome to your (practice|clinic|company|site)\b|(text|page) (in the page builder|builder)|click to (select|edit)|edit this text|replace (it|this) before|delete or edit it",
     r"^\[[^\]]{2,80}\]$",
 )

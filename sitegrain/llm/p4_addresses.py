@@ -128,7 +128,7 @@ def _take_unit(part: str) -> tuple[str, str]:
 
 def parse(street: str, city: str, state: str, code: str, states: tuple[tuple[str, str], ...]) -> tuple[str, ...]:
     """The components in the order of COMPONENTS, each '' where it is missing."""
-    unit, whole = "", re.sub(r"\([^)]*\)", " ", _plain(street))
+    unit, whole = "", re.sub(r"\([^()]*\)", " ", _plain(street))
     parts = []
     for part in whole.split(","):
         rest, found = _take_unit(part.strip())
@@ -194,9 +194,9 @@ def _parse_rows(batches: Iterator[pa.RecordBatch], states: tuple[tuple[str, str]
 def _alike(a: Column, b: Column) -> Column:
     """Equal up to slips of typing: one edit in up to six letters, two in up to nine, three in longer words."""
     longer = F.greatest(F.length(a), F.length(b))
-    near = F.levenshtein(a, b, 3)
     swapped = (F.length(a) == F.length(b)) & (F.array_sort(F.split(a, "")) == F.array_sort(F.split(b, "")))
-    return (a == b) | ((near >= 0) & (longer >= 4) & ((near <= 1) | ((near <= 2) & ((longer >= 7) | swapped)) | (longer >= 10))) | (swapped & (longer >= 10) & (F.levenshtein(a, b, 4) >= 0))
+    allowed = F.when(longer >= 10, F.when(swapped, 4).otherwise(3)).when(longer >= 7, 2).when(longer >= 4, F.when(swapped, 2).otherwise(1)).otherwise(0)
+    return (a == b) | ((F.abs(F.length(a) - F.length(b)) <= 3) & (F.pmod(F.levenshtein(a, b, 4), F.lit(100)) <= allowed))  # -1, too far, becomes 99
 
 
 def same_place(l: str, r: str) -> Column:

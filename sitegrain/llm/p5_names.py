@@ -105,14 +105,15 @@ def parse(name: str, states: tuple[str, ...] = ()) -> tuple[str, str, str, str]:
 def _grams() -> Column:
     """The distinct n-grams of ``core`` with its ends marked: of four letters for persons, of GRAM for others."""
     text = F.concat(F.lit("^"), "core", F.lit("$"))
-    n = F.when(F.col("first") == "", GRAM).otherwise(GRAM - 1)
-    return F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length(text) - n + 1, F.lit(1))), lambda i: F.substring(text, i, n)))
+    found = F.when(F.col("first") == "", F.regexp_extract_all(text, F.lit(f"(?=(.{{{GRAM}}}))"), 1)).otherwise(F.regexp_extract_all(text, F.lit(f"(?=(.{{{GRAM - 1}}}))"), 1))
+    return F.when(F.size(found) == 0, F.array(text)).otherwise(F.array_distinct(found))
 
 
 def _alike(a: Column, b: Column) -> Column:
+    """Equal up to slips of typing: one edit from four letters on, two from seven, three from fourteen."""
     longer = F.greatest(F.length(a), F.length(b))
-    near = F.levenshtein(a, b, 3)
-    return (a == b) | ((near >= 0) & ((near <= 1) & (longer >= 4) | (near <= 2) & (longer >= 7) | (longer >= 14)))
+    allowed = F.when(longer >= 14, 3).when(longer >= 7, 2).when(longer >= 4, 1).otherwise(0)
+    return (F.abs(F.length(a) - F.length(b)) <= allowed) & (F.pmod(F.levenshtein(a, b, 3), F.lit(100)) <= allowed)  # -1, too far, becomes 99
 
 
 def compatible(l: str, r: str) -> Column:

@@ -56,19 +56,22 @@ def _mapped(text: Column) -> Column:
 def canonical_forms(rows: DataFrame, text: str = "snippet") -> DataFrame:
     """``rows`` with ``canonical``: equal exactly where the texts look the same.
 
-    Null text stays null and blank text becomes ''; every other column is kept, one row for each input row. Texts of
+    Null text stays null and blank text becomes ''; every other column is kept (one named ``canonical`` is replaced), one row for
+    each input row. Texts of
     any length are compared whole. Classes of one mapped text are their own canonical form, so that only texts that the collation
     merges (composed against combining accents) are joined back. Text of ASCII alone is its own form and takes no part
     in the collation.
     """
-    plain = rows.where(F.col(text).isNull() | is_ascii(F.col(text))).withColumn("canonical", F.trim(_squeezed(F.col(text))))
-    marked = materialize(rows.where(~is_ascii(F.col(text))).withColumn("_look", look(F.col(text))), "p7-looks")
-    turned = marked.where(is_ascii(F.col("_look"))).withColumnRenamed("_look", "canonical")
-    kept = marked.where(~is_ascii(F.col("_look")))
-    classes = kept.groupBy(F.collate("_look", "UNICODE").alias("_class")).agg(F.min("_look").alias("_first"), F.max("_look").alias("_last")).where("_first <> _last")
-    joined = kept.join(classes.select("_class", "_first"), F.collate(kept["_look"], "UNICODE") == F.col("_class"), "left")
-    merged = joined.withColumn("canonical", F.coalesce("_first", "_look")).drop("_look", "_class", "_first")
-    return merged.unionByName(turned).unionByName(plain)
+    others = [c for c in rows.columns if c != "canonical"]
+    packed = rows.select(F.struct(*others).alias("row"), F.col(text).alias("text"))
+    plain = packed.where(F.col("text").isNull() | is_ascii(F.col("text"))).select("row", F.trim(_squeezed(F.col("text"))).alias("canonical"))
+    marked = materialize(packed.where(~is_ascii(F.col("text"))).select("row", look(F.col("text")).alias("look")), "p7-looks")
+    turned = marked.where(is_ascii(F.col("look"))).withColumnRenamed("look", "canonical")
+    kept = marked.where(~is_ascii(F.col("look")))
+    classes = kept.groupBy(F.collate("look", "UNICODE").alias("class")).agg(F.min("look").alias("first"), F.max("look").alias("last")).where("first <> last")
+    joined = kept.join(classes.select("class", "first"), F.collate(kept["look"], "UNICODE") == F.col("class"), "left")
+    merged = joined.select("row", F.coalesce("first", "look").alias("canonical"))
+    return merged.unionByName(turned).unionByName(plain).select("row.*", "canonical")
 
 
 def snippet_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
