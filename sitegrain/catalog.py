@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from sitegrain.plans import places, streams, tables, web  # noqa: F401  (registers its queries)
+from sitegrain.plans import places, streams, tables, web, workflow  # noqa: F401  (registers its queries)
 from sitegrain.plans.registry import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]
