@@ -4,13 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 
 def share_of_total(rows: DataFrame, key: str) -> DataFrame:
-    """(key, n, share): the count of each key and its share of all rows. The total is summed over the counts."""
-    counts = rows.groupBy(key).agg(F.count("*").alias("n"))
-    return counts.withColumn("share", F.round(F.col("n") / F.sum("n").over(Window.partitionBy(F.lit(0))), 6))
+    """(key, n, share): the count of each key and its share of all rows."""
+    total = max(1, rows.count())
+    return rows.groupBy(key).agg(F.count("*").alias("n")).withColumn("share", F.round(F.col("n") / total, 6))
 
 
 def graded_counts(results: DataFrame, by: list[str], match: str = "match") -> DataFrame:

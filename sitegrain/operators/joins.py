@@ -75,21 +75,35 @@ def lookup(rows: DataFrame, table: DataFrame, key: str, values: dict[str, str])
     return joined.select(*rows.columns, *[F.coalesce(F.col(c), F.lit(d)).alias(c) for c, d in values.items()])
 
 
-def numbered(rows: DataFrame, ord_: str = "ord", name: str = "request_id", per: list[str] | None = None) -> DataFrame:
-    """The rows with their number by order, from 1. With ``per`` the numbers start again in each group.
+def ranges(rows: DataFrame, ord_: str = "ord", parts: int = 256) -> DataFrame:
+    """The rows with ``_range``: their order cut into ``parts`` equal ranges. The ends of the order are read first."""
+    low, high = rows.agg(F.min(ord_), F.max(ord_)).first()  # one row
+    if low is None:
+        return rows.withColumn("_range", F.lit(0).cast("long"))
+    return rows.withColumn("_range", F.floor((F.col(ord_) - low) * parts / (high - low + 1)).cast("long"))
+
+
+def running(rows: DataFrame, per: list[str], values: dict[str, Column], ord_: str = "ord", own: bool = True) -> DataFrame:
+    """The rows with running sums of the values in each group by order, of the rows before alone with ``own`` False.
 
-    Without groups the numbers come from counts of order ranges, not from one sorted task: rows are spread by order,
-    each range is counted, and the ranges before it are added.
+    Sums are taken within ranges of the order and the sums of the ranges before are added, so a group that holds most
+    rows is sorted in pieces and not in one task; a null counts as 0. ``ord_`` must be a number.
     """
-    if per:
-        return rows.withColumn(name, F.row_number().over(Window.partitionBy(*per).orderBy(ord_)))
-    low, high = F.min(ord_), F.max(ord_)
-    span = rows.agg(low.alias("lo"), high.alias("hi"))
-    ranged = rows.crossJoin(F.broadcast(span)).withColumn("_range", F.floor((F.col(ord_) - F.col("lo")) * 256 / (F.col("hi") - F.col("lo") + 1))).drop("lo", "hi")  # span is one row
-    sizes = ranged.groupBy("_range").agg(F.count("*").alias("_n"))
-    before = sizes.withColumn("_before", F.coalesce(F.sum("_n").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_n")  # 256 rows at most
-    out = ranged.join(before, "_range")
-    return out.withColumn(name, F.row_number().over(Window.partitionBy("_range").orderBy(ord_)) + F.col("_before")).drop("_range", "_before")
+    given = {f"_v{i}": F.coalesce(v, F.lit(0)) for i, v in enumerate(values.values())}
+    cut = ranges(rows.withColumns(given), ord_)
+    sums = cut.groupBy(*per, "_range").agg(*[F.sum(v).alias(f"{v}s") for v in given])
+    over = Window.partitionBy(*per).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # 256 rows a group at most
+    before = sums.select(*per, "_range", *[F.coalesce(F.sum(f"{v}s").over(over), F.lit(0)).alias(f"{v}b") for v in given])
+    same = [cut[k].eqNullSafe(before[k]) for k in [*per, "_range"]]
+    joined = cut.join(before, [*per, "_range"]) if not per else cut.join(before, same).select(cut["*"], *[before[f"{v}b"] for v in given])
+    within = Window.partitionBy(*per, "_range").orderBy(ord_).rowsBetween(Window.unboundedPreceding, 0 if own else -1)
+    out = {n: F.coalesce(F.sum(v).over(within), F.lit(0)) + F.col(f"{v}b") for n, v in zip(values, given)}
+    return joined.select(*rows.columns, *[c.alias(n) for n, c in out.items()])
+
+
+def numbered(rows: DataFrame, ord_: str = "ord", name: str = "request_id", per: list[str] | None = None) -> DataFrame:
+    """The rows with their number by order, from 1; with ``per`` the numbers start again in each group."""
+    return running(rows, per or [], {name: F.lit(1).cast("long")}, ord_)
 
 
 def best_match(rows: DataFrame, candidates: DataFrame, by: str, score: list[Column], where: Column | None = None, ord_: str = "ord", tie: str = "c_ord") -> DataFrame:

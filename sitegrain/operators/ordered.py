@@ -1,7 +1,7 @@
 """Operators that depend on the order of rows: running figures, early stops, first-k, samples and batches.
 
-Orders within a group are windows over that group. An order over a whole table is split by ranges (``joins.numbered``)
-or stands on pre-aggregated rows.
+Running figures are summed in ranges of the order (``joins.running``), so a group may hold most of the rows. The first k
+of a group are cut down in each map task. ``rolling_rate`` alone sorts a whole group in one task, spilling to disk.
 """
 
 from __future__ import annotations
@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from sitegrain.operators.joins import running
+
 
 def rolling_rate(rows: DataFrame, per: list[str], at: str, ord_: str, size: int = 20) -> DataFrame:
     """With ``rate``: of the last ``size`` rows of the group, rows a second; 0 for the first row."""
@@ -20,17 +22,13 @@ def rolling_rate(rows: DataFrame, per: list[str], at: str, ord_: str, size: int
 
 def until_cap(rows: DataFrame, per: list[str], cost: str, cap: float, ord_: str = "ord") -> DataFrame:
     """The rows admitted while what the earlier rows of the group cost stays below ``cap``; a null cost is 0."""
-    w = Window.partitionBy(*per).orderBy(ord_).rowsBetween(Window.unboundedPreceding, -1)
-    spent = F.coalesce(F.sum(F.coalesce(F.col(cost), F.lit(0.0))).over(w), F.lit(0.0))
-    return rows.withColumn("_spent", spent).where(F.col("_spent") < cap).drop("_spent")
+    return running(rows, per, {"_spent": F.col(cost).cast("double")}, ord_, own=False).where(F.col("_spent") < cap).drop("_spent")
 
 
 def running_counts(rows: DataFrame, per: list[str], flags: dict[str, Column], every: int, ord_: str = "ord") -> DataFrame:
     """Every ``every``-th row of the group with its number and the counts of the flags so far."""
-    w = Window.partitionBy(*per).orderBy(ord_)
-    run = w.rowsBetween(Window.unboundedPreceding, 0)
-    out = rows.select(*per, ord_, F.row_number().over(w).cast("long").alias("row_no"), *[F.sum(F.when(f, 1).otherwise(0)).over(run).alias(n) for n, f in flags.items()])
-    return out.where(F.col("row_no") % every == 0)
+    counts = {"row_no": F.lit(1).cast("long"), **{n: F.when(f, 1).otherwise(0).cast("long") for n, f in flags.items()}}
+    return running(rows, per, counts, ord_).where(F.col("row_no") % every == 0).select(*per, ord_, *counts)
 
 
 def early_stop(rows: DataFrame, per: list[str], kind: str, found: str, streak: int = 3, ord_: str = "ord") -> DataFrame:
@@ -38,14 +36,11 @@ def early_stop(rows: DataFrame, per: list[str], kind: str, found: str, streak: i
 
     Rows of another kind than 'page' do not count as empty; any row that found something starts the count again.
     """
-    w = Window.partitionBy(*per).orderBy(ord_).rowsBetween(Window.unboundedPreceding, 0)
     hit = F.col(found) > 0
-    marked = rows.withColumn("_run", F.sum(hit.cast("int")).over(w)).withColumn("_hub", F.max((hit & (F.col(kind) == "hub")).cast("int")).over(w))
-    in_run = Window.partitionBy(*per, "_run").orderBy(ord_).rowsBetween(Window.unboundedPreceding, 0)
-    empties = F.sum((~hit & (F.col(kind) == "page")).cast("int")).over(in_run)
-    marked = marked.withColumn("_stop", F.when((empties >= streak) & (F.col("_hub") == 1), F.col(ord_)))
-    stopped = marked.withColumn("_end", F.min("_stop").over(Window.partitionBy(*per)))
-    return stopped.where(F.col("_end").isNull() | (F.col(ord_) <= F.col("_end"))).select(rows.columns)
+    marked = running(rows, per, {"_run": hit.cast("long"), "_hub": (hit & (F.col(kind) == "hub")).cast("long")}, ord_)
+    counted = running(marked, [*per, "_run"], {"_empty": (~hit & (F.col(kind) == "page")).cast("long")}, ord_)
+    stops = counted.where((F.col("_empty") >= streak) & (F.col("_hub") > 0)).groupBy(*per).agg(F.min(ord_).alias("_end"))
+    return counted.join(stops, per, "left").where(F.col("_end").isNull() | (F.col(ord_) <= F.col("_end"))).select(rows.columns)
 
 
 def first_k(rows: DataFrame, per: list[str], order: list[Column], k: int) -> DataFrame:
@@ -69,7 +64,8 @@ def with_fallback(rows: DataFrame, per: list[str], conditions: list[Column], k_l
     level = F.lit(len(conditions))
     for i, c in reversed(list(enumerate(conditions))):
         level = F.when(c, i).otherwise(level)
-    marked = rows.withColumn("_level", level).withColumn("_best", F.min("_level").over(Window.partitionBy(*per)))
-    kept = marked.where(F.col("_level") == F.col("_best"))
-    ranked = kept.withColumn("_rank", F.row_number().over(Window.partitionBy(*per).orderBy(ord_)))
-    return ranked.where((F.col("_best") < len(conditions)) | (F.col("_rank") <= k_last)).select(rows.columns)
+    marked = rows.withColumn("_level", level)
+    best = marked.groupBy(*per).agg(F.min("_level").alias("_best"))
+    kept = marked.join(best, per).where(F.col("_level") == F.col("_best"))
+    last = F.col("_best") == len(conditions)
+    return kept.where(~last).select(rows.columns).unionByName(first_k(kept.where(last), per, [F.col(ord_)], k_last).select(rows.columns))

@@ -1,7 +1,7 @@
 """Workflows: compositions of the operators from fetched pages to profiles, places and reports.
 
 Where a service outside of the engine would decide, a rule does by default: ``plan``, ``profiles``, ``page_places`` and
-``label`` are plug points that take a frame of other results in the same columns instead.
+``labelled`` are plug points that take a frame of other results in the same columns instead.
 """
 
 from __future__ import annotations
@@ -116,20 +116,20 @@ def places_of_pages(spark: SparkSession, d: str) -> DataFrame:
     return page_places(table(spark, d, "page_fetch"), codes)
 
 
-def label(text: Column) -> Column:
-    """The first label whose words the text has, else ''."""
-    out = F.lit("")
-    for name, pattern in reversed(LABELS):
-        out = F.when(F.lower(text).rlike(pattern), name).otherwise(out)
-    return out
+def labelled(texts: DataFrame, key: str, text: str) -> DataFrame:
+    """(key, label): the first label whose words any of the key's texts has, else ''. Texts are judged one by one."""
+    rank = F.lit(len(LABELS))
+    for i, (_, pattern) in reversed(list(enumerate(LABELS))):
+        rank = F.when(F.lower(F.col(text)).rlike(pattern), i).otherwise(rank)
+    names = F.array(*[F.lit(n) for n, _ in LABELS], F.lit(""))
+    return texts.groupBy(key).agg(F.get(names, F.min(rank)).alias("label"))
 
 
-@query("WITH b AS (SELECT domain, string_agg(" + _TITLE + ", ' ' ORDER BY ord) AS t FROM page_fetch WHERE coalesce(html, '') <> '' AND domain IS NOT NULL GROUP BY domain) SELECT domain, CASE " + " ".join(f"WHEN regexp_matches(lower(t), {q.quoted(p)}) THEN '{n}'" for n, p in LABELS) + " ELSE '' END AS label FROM b")
+@query("SELECT domain, CASE min(r) " + " ".join(f"WHEN {i} THEN '{n}'" for i, (n, _) in enumerate(LABELS)) + " ELSE '' END AS label FROM (SELECT domain, CASE " + " ".join(f"WHEN regexp_matches(lower({_TITLE}), {q.quoted(p)}) THEN {i}" for i, (_, p) in enumerate(LABELS)) + " ELSE 99 END AS r FROM page_fetch WHERE coalesce(html, '') <> '' AND domain IS NOT NULL) x GROUP BY domain")
 def site_labels(spark: SparkSession, d: str) -> DataFrame:
     """Ud6, X8: a label of each site by the words of its titles."""
     pages = table(spark, d, "page_fetch").where("domain is not null").where(F.coalesce("html", F.lit("")) != "")
-    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ord", pg.page_title("html").alias("t")))), lambda x: x["t"]), " ")
-    return pages.groupBy("domain").agg(text.alias("t")).select("domain", label(F.col("t")).alias("label"))
+    return labelled(pages.select("domain", pg.page_title("html").alias("t")), "domain", "t")
 
 
 @query(f"WITH p AS ({PROFILES}), w AS (SELECT domain, max(ord) AS ord, arg_max(fetch_status, ord) AS s FROM orgs WHERE domain IS NOT NULL GROUP BY domain) SELECT w.ord, w.domain, CASE WHEN p.domain IS NOT NULL THEN 'ok' ELSE coalesce(w.s, 'unknown') END AS status, coalesce(p.name, '') AS name, coalesce(p.phone, '') AS phone FROM w LEFT JOIN p USING (domain)")
