@@ -149,3 +149,19 @@ def needs_raw_text(html: Column | str, body: Column | str) -> Column:
     raw, text = visible_text(html), F.coalesce(col(body), F.lit(""))
     lost = [raw.rlike(p) & ~text.rlike(p) for p in (r"\b\d{5}(-\d{4})?\b", r"\(?\d{3}\)?[-. ]\d{3}[-. ]\d{4}")]
     return (F.length(text) < 500) | lost[0] | lost[1]
+
+
+def main_text(html: Column | str) -> Column:
+    """The texts of the page's paragraphs, one a line: a plain rule for the main content, without navigation and footers
+    that are no paragraphs.
+    """
+    found = F.regexp_extract_all(_html(html), F.lit(r"(?is)<p\b[^>]*>(.*?)</p>"), 1)
+    return F.array_join(F.filter(F.transform(found, _inner), lambda t: t != ""), "\n")
+
+
+def heading_blocks(html: Column | str, cut: int = 100) -> Column:
+    """array of struct(heading, text): each h1 to h4 of at most ``cut`` characters with the text up to the next one."""
+    parts = F.split(_html(html), r"(?i)<h[1-4]\b[^>]*>")
+    parts = F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0)))
+    blocks = F.transform(parts, lambda p: F.struct(_inner(F.regexp_extract(p, r"(?is)^(.*?)</h[1-4]", 1)).alias("heading"), visible_text(F.regexp_replace(p, r"(?is)^.*?</h[1-4][^>]*>", "")).alias("text")))
+    return F.filter(blocks, lambda b: (b["heading"] != "") & (F.length(b["heading"]) <= cut))

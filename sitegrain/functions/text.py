@@ -44,3 +44,11 @@ def contains_any(c: Column | str, phrases: list[str]) -> Column:
     for phrase in phrases:
         out = out | text.contains(phrase)
     return out
+
+
+def filled(template: str, values: dict[str, Column | str]) -> Column:
+    """The template with each {name} replaced by its value, null by ''; other braces stay as they are."""
+    out = F.lit(template)
+    for name, value in values.items():
+        out = F.replace(out, F.lit("{" + name + "}"), F.coalesce(col(value), F.lit("")))
+    return out

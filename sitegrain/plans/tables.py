@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sitegrain.functions.scoring import COMPARATORS
-from sitegrain.functions.text import alnum_key, clean, is_blank, lower_trim, squeeze
+from sitegrain.functions.text import alnum_key, clean, filled, is_blank, lower_trim, squeeze
 from sitegrain.operators import aggregate as ag
 from sitegrain.operators import joins as jo
 from sitegrain.operators import ordered as od
@@ -102,7 +102,7 @@ _COLS = "chr((65 + CASE WHEN n < 26 THEN n ELSE n // 26 - 1 END)::INT) || CASE W
 
 @query(f"SELECT ord, row_no, (row_no - 1) // 1000 AS batch, 'A' || ((row_no - 1) // 1000 * 1000 + 2) || ':C' || ((row_no - 1) // 1000 * 1000 + 1001) AS cells, (SELECT {_COLS} FROM (SELECT (ord % 60) AS n) x) AS letters FROM (SELECT ord, row_number() OVER (ORDER BY ord) AS row_no FROM orgs) y")
 def sheet_ranges(spark: SparkSession, d: str) -> DataFrame:
-    """Sheet rows, batches of 1000, their ranges and column letters."""
+    """Sheet rows, batches of 1000, their ranges and column letters."""
     rows = sinks.sheet_batches(_t(spark, d, "orgs", "ord", "domain", "fetch_status"))
     return rows.select("ord", "row_no", "batch", "cells", sinks.column_letter(F.col("ord") % 60 + 1).alias("letters"))
 
@@ -440,6 +440,12 @@ def joined_lists(spark: SparkSession, d: str) -> DataFrame:
     return _t(spark, d, "classified_rows").select("ord", F.size(both).cast("long").alias("n"))
 
 
+@query("SELECT ord, 'Find the offices of ' || coalesce(canonical_org_name__value, '') || ' on ' || coalesce(domain, '') || ' as {json}.' AS prompt FROM orgs")
+def prompts(spark: SparkSession, d: str) -> DataFrame:
+    """A text template filled for each row; other braces stay."""
+    return _t(spark, d, "orgs").select("ord", filled("Find the offices of {name} on {domain} as {json}.", {"name": "canonical_org_name__value", "domain": "domain"}).alias("prompt"))
+
+
 # Scores: each run of an organisation against the latest run of its domain.
 
 def _sql_match(f: str, e: str, a: str) -> str:

@@ -85,6 +85,23 @@ def page_addresses(spark: SparkSession, d: str) -> DataFrame:
     return _pages(spark, d).select("ord", F.explode(each).alias("x")).select("ord", "x.kind", "x.address").distinct()
 
 
+@query(rf"""SELECT ord, array_to_string([x for x in [{_inner('p')} for p in regexp_extract_all({H}, '(?is)<p\b[^>]*>(.*?)</p>', 1)] if x <> ''], chr(10)) AS body FROM page_fetch""")
+def paragraph_texts(spark: SparkSession, d: str) -> DataFrame:
+    """The main content by a plain rule."""
+    return _pages(spark, d).select("ord", pg.main_text("html").alias("body"))
+
+
+_PLAIN = rf"trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(p, '^.*?</h[1-4][^>]*>', '', 'is'), '<(script|style)[^>]*>.*?</(script|style)>', ' ', 'gis'), '<[^>]+>', ' ', 'g'), '\s+', ' ', 'g'))"
+
+
+@query(rf"""WITH b AS (SELECT ord, unnest([{{'heading': {_inner("regexp_extract(p, '(?is)^(.*?)</h[1-4]', 1)")}, 'text': {_PLAIN}}} for p in string_split_regex({H}, '(?i)<h[1-4]\b[^>]*>')[2:]]) AS b FROM page_fetch)
+SELECT ord, b.heading AS heading, regexp_extract(b.text, '\b\d{{5}}\b', 0) AS zip, length(b.text) AS chars FROM b WHERE b.heading <> '' AND length(b.heading) <= 100 AND regexp_matches(b.text, '\b\d{{5}}\b')""")
+def named_blocks(spark: SparkSession, d: str) -> DataFrame:
+    """Headings whose text has a number like a postal code."""
+    blocks = _pages(spark, d).select("ord", F.explode(pg.heading_blocks("html")).alias("b")).select("ord", "b.heading", "b.text")
+    return blocks.where(F.col("text").rlike(r"\b\d{5}\b")).select("ord", "heading", F.regexp_extract("text", r"\b\d{5}\b", 0).alias("zip"), F.length("text").cast("long").alias("chars"))
+
+
 _LINKS = rf"""SELECT ord, domain, i AS pos, CASE WHEN regexp_matches(u, '(?i)^https?://') THEN u WHEN starts_with(u, '//') THEN 'https:' || u WHEN starts_with(u, '/') THEN 'https://' || domain || u ELSE 'https://' || domain || '/' || u END AS link
 FROM (SELECT ord, domain, l[i] AS u, i FROM (SELECT ord, domain, l, unnest(range(1, len(l) + 1)) AS i FROM (SELECT ord, domain, [x for x in regexp_extract_all({H}, '(?is)<a\b[^>]*?\bhref\s*=\s*["'']?([^"''\s>]+)', 1) if NOT regexp_matches(lower(x), '^(#|mailto:|tel:|javascript:)')] AS l FROM page_fetch WHERE domain IS NOT NULL) a) b) c"""
 
