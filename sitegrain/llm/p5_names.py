@@ -16,6 +16,7 @@ from functools import lru_cache
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from sitegrain.functions.text import is_blank
 from sitegrain.llm.p2_residue import dummy_text
@@ -109,11 +110,11 @@ def _grams() -> Column:
     return F.when(F.size(found) == 0, F.array(text)).otherwise(F.array_distinct(found))
 
 
-def _alike(a: Column, b: Column) -> Column:
-    """Equal up to slips of typing: one edit from four letters on, two from seven, three from fourteen."""
-    longer = F.greatest(F.length(a), F.length(b))
+def _alike(l: str, r: str) -> Column:
+    """Equal up to slips of typing: one edit from four letters on, two from seven, three from fourteen (``n`` letters)."""
+    a, b, longer = F.col(f"{l}.core"), F.col(f"{r}.core"), F.greatest(f"{l}.n", f"{r}.n")
     allowed = F.when(longer >= 14, 3).when(longer >= 7, 2).when(longer >= 4, 1).otherwise(0)
-    return (F.abs(F.length(a) - F.length(b)) <= allowed) & (F.pmod(F.levenshtein(a, b, 3), F.lit(100)) <= allowed)  # -1, too far, becomes 99
+    return (F.abs(F.col(f"{l}.n") - F.col(f"{r}.n")) <= 3) & (F.pmod(F.levenshtein(a, b, 3), F.lit(100)) <= allowed)  # -1, too far, becomes 99
 
 
 def compatible(l: str, r: str) -> Column:
@@ -139,19 +140,19 @@ def similar(names: DataFrame, cosine: float = COSINE) -> DataFrame:
     total = names.count()
     weights = listed.groupBy("gram").agg(F.count("*").alias("df")).select("gram", (F.log(F.lit(float(max(1, total))) / F.col("df")) + 1).alias("w"))
     weighted = materialize(listed.join(weights, "gram"), "p5-weighted")
-    ranked = weighted.groupBy("id").agg(F.sort_array(F.collect_list(F.struct((-F.col("w")).alias("v"), "gram"))).alias("g"), F.sum(F.col("w") * F.col("w")).alias("norm"))
-    kept = F.expr(f"filter(g, (x, i) -> norm - aggregate(slice(g, 1, i), 0D, (s, y) -> s + y.v * y.v) >= {cosine * cosine} * norm)")
-    rare = ranked.select("id", F.explode(F.transform(kept, lambda x: x["gram"])).alias("gram")).join(names, "id")
-    rare = rare.select(F.xxhash64("scope", "gram", F.substring("first", 1, 1)).alias("key"), "id", "scope", "core", "kind", "state", "first")
+    own = Window.partitionBy("id")
+    energy = F.col("w") * F.col("w")
+    before = F.coalesce(F.sum(energy).over(own.orderBy(F.col("w").desc(), "gram").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
+    rare = weighted.select("id", "gram", before.alias("before"), F.sum(energy).over(own).alias("norm")).where(F.col("norm") - F.col("before") >= cosine * cosine * F.col("norm"))
+    rare = rare.join(names, "id").select(F.xxhash64("scope", "gram", F.substring("first", 1, 1)).alias("key"), "id", "norm", "scope", "core", F.length("core").alias("n"), "kind", "state", "first")
     a, b = rare.alias("a"), rare.alias("b")
     met = a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.id") < F.col("b.id")))
-    met = met.where((F.col("a.scope") == F.col("b.scope")) & compatible("a", "b") & _alike(F.col("a.core"), F.col("b.core")))
-    pairs = materialize(met.select(F.col("a.id").alias("a"), F.col("b.id").alias("b")).distinct(), "p5-pairs")
-    norms = ranked.select("id", "norm")
+    met = met.where((F.col("a.scope") == F.col("b.scope")) & compatible("a", "b") & _alike("a", "b"))
+    pairs = met.groupBy(F.col("a.id").alias("a"), F.col("b.id").alias("b")).agg(F.first("a.norm").alias("na"), F.first("b.norm").alias("nb"))
+    pairs = materialize(pairs, "p5-pairs")
     x, y = weighted.select(F.col("id").alias("a"), "gram", "w"), weighted.select(F.col("id").alias("b"), "gram")
-    dots = pairs.join(x, "a").join(y, ["b", "gram"]).groupBy("a", "b").agg(F.sum(F.col("w") * F.col("w")).alias("dot"))
-    scaled = dots.join(norms.toDF("a", "na"), "a").join(norms.toDF("b", "nb"), "b")
-    return scaled.select("a", "b", (F.col("dot") / F.sqrt(F.col("na") * F.col("nb"))).alias("cos")).where(F.col("cos") >= cosine)
+    dots = pairs.join(x, "a").join(y, ["b", "gram"]).groupBy("a", "b", "na", "nb").agg(F.sum(energy).alias("dot"))
+    return dots.select("a", "b", (F.col("dot") / F.sqrt(F.col("na") * F.col("nb"))).alias("cos")).where(F.col("cos") >= cosine)
 
 
 def average_linkage(edges: DataFrame, linkage: float = LINKAGE) -> DataFrame:
