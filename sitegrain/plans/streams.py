@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sitegrain.plans.registry import query
-from sitegrain.plans.tables import _path
+from sitegrain.sources.tables import scratch_path as _path
 from sitegrain.streaming import resume as st
 
 

@@ -15,7 +15,8 @@ from sitegrain.operators.dedupe import completeness, distinct_first
 from sitegrain.plans import sqltext as q
 from sitegrain.plans.registry import query
 from sitegrain.sources import files, sinks
-from sitegrain.sources.tables import scratch_dir, table
+from sitegrain.sources.tables import scratch_path as _path
+from sitegrain.sources.tables import table
 
 FIELDS = rs.FIELDS
 
@@ -25,12 +26,6 @@ def _t(spark: SparkSession, d: str, name: str, *columns: str) -> DataFrame:
     return rows.select(*columns) if columns else rows
 
 
-def _path(spark: SparkSession, name: str) -> str:
-    import uuid
-
-    return f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
-
-
 # Sources and sinks: written to the shared folder and read back.
 
 

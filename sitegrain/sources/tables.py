@@ -33,13 +33,21 @@ def scratch_dir(spark: SparkSession) -> str:
     return _OWN["dir"]
 
 
+def scratch_path(spark: SparkSession, label: str) -> str:
+    """A new path in the shared folder; what is written there goes when the session ends."""
+    folder = f"{scratch_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    jvm = getattr(spark, "_jvm", None)
+    if jvm is not None:
+        target = jvm.org.apache.hadoop.fs.Path(folder)
+        files = target.getFileSystem(spark._jsc.hadoopConfiguration())
+        files.mkdirs(target)
+        files.deleteOnExit(target)
+    return f"{folder}/data"
+
+
 def materialize(df: DataFrame, label: str = "step") -> DataFrame:
-    """Write ``df`` once into the shared folder and read it back; the files go when the session ends."""
+    """Write ``df`` once into the shared folder and read it back."""
     spark = df.sparkSession
-    path = f"{scratch_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    path = scratch_path(spark, label)
     df.write.parquet(path)
-    jvm = getattr(spark, "_jvm", None)
-    if jvm is not None:
-        target = jvm.org.apache.hadoop.fs.Path(path)
-        target.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(target)
     return spark.read.schema(df.schema).parquet(path)
