@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from sitegrain.functions import pages as pg
 from sitegrain.functions import urls as ul
 from sitegrain.functions.text import clean, contains_any
+from sitegrain.functions.tree import page_facts
 from sitegrain.operators.aggregate import children
 from sitegrain.operators.dedupe import distinct_first, first_success
 from sitegrain.operators.ordered import first_k, with_fallback
@@ -102,6 +103,12 @@ def named_blocks(spark: SparkSession, d: str) -> DataFrame:
     return blocks.where(F.col("text").rlike(r"\b\d{5}\b")).select("ord", "heading", F.regexp_extract("text", r"\b\d{5}\b", 0).alias("zip"), F.length("text").cast("long").alias("chars"))
 
 
+@query()
+def page_tree_facts(spark: SparkSession, d: str) -> DataFrame:
+    """Maps, data attributes, microdata by scope, named headings and footers, by the page's tree."""
+    return page_facts(_pages(spark, d))
+
+
 _LINKS = rf"""SELECT ord, domain, i AS pos, CASE WHEN regexp_matches(u, '(?i)^https?://') THEN u WHEN starts_with(u, '//') THEN 'https:' || u WHEN starts_with(u, '/') THEN 'https://' || domain || u ELSE 'https://' || domain || '/' || u END AS link
 FROM (SELECT ord, domain, l[i] AS u, i FROM (SELECT ord, domain, l, unnest(range(1, len(l) + 1)) AS i FROM (SELECT ord, domain, [x for x in regexp_extract_all({H}, '(?is)<a\b[^>]*?\bhref\s*=\s*["'']?([^"''\s>]+)', 1) if NOT regexp_matches(lower(x), '^(#|mailto:|tel:|javascript:)')] AS l FROM page_fetch WHERE domain IS NOT NULL) a) b) c"""
 
@@ -145,6 +152,19 @@ def location_urls(spark: SparkSession, d: str) -> DataFrame:
     return with_fallback(rows, ["domain"], [own, inner], 30).select("domain", "url")
 
 
+# Pages that a site with places often has.
+SEED_PATHS = ["locations", "our-locations", "contact", "contact-us", "find-a-location"]
+
+
+@query(f"SELECT domain, 'https://' || domain || '/' || p AS url FROM (SELECT DISTINCT domain, unnest([{', '.join(q.quoted(p) for p in SEED_PATHS)}]) AS p FROM orgs WHERE domain IS NOT NULL) x WHERE lower(domain || '/' || p) NOT IN (SELECT {q.dedup_key('url')} FROM page_fetch WHERE url IS NOT NULL)")
+def seeded_urls(spark: SparkSession, d: str) -> DataFrame:
+    """usual location pages of each site that were not met yet."""
+    sites = table(spark, d, "orgs").where("domain is not null").select("domain").distinct()
+    seeds = sites.select("domain", F.explode(F.array(*[F.concat(F.lit("https://"), "domain", F.lit(f"/{p}")) for p in SEED_PATHS])).alias("url")).withColumn("key", ul.dedup_key("url"))
+    seen = _pages(spark, d).where("url is not null").select(ul.dedup_key("url").alias("key")).distinct()
+    return seeds.join(seen, "key", "left_anti").select("domain", "url")
+
+
 @query(f"""SELECT ord, {q.norm_url('source_url')} AS norm, {q.dedup_key('source_url')} AS dedup, {q.url_host('source_url')} AS host, regexp_replace(regexp_replace(coalesce(source_url, ''), '[?#].*$', ''), '/+$', '') AS page,
   '/' || array_to_string(({q.segments('source_url')})[1:greatest(len({q.segments('source_url')}) - 1, 0)], '/') AS parent, len({q.segments('source_url')}) AS depth FROM locations""")
 def url_keys(spark: SparkSession, d: str) -> DataFrame:
