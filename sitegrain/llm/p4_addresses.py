@@ -2,8 +2,8 @@
 
 An address is parsed into components (house number, direction, street name, street kind, unit, city, state, postal
 code), abbreviations are expanded by the dictionaries of a locale, the order of the parts is made canonical, and the
-canonical forms are joined on hierarchical keys: number and street with the postal code, else with the city, else with
-the state. Rules for each component, missing ones included, then decide on the joined forms.
+canonical forms are joined on hierarchical keys: the number with the postal code or the city and the street's first
+letter, with the state and the beginning or end of the street, or with the whole street. Rules for each component, missing ones included, then decide on the joined forms.
 """
 
 from __future__ import annotations
@@ -233,7 +233,7 @@ def parse_addresses(rows: DataFrame, states: tuple[tuple[str, str], ...]) -> Dat
 def same_addresses(rows: DataFrame, states: tuple[tuple[str, str], ...], zips: DataFrame) -> DataFrame:
     """Pairs (ord_a < ord_b) of rows whose addresses denote one place and differ as stored.
 
-    ``zips`` (zip, city) gives the city of a row that has a postal code alone; of several cities the first one counts.
+    ``zips`` (zip, city, state) gives the city and state of a row that has a postal code alone; of several the first counts.
 
     ``rows``: ord (unique), address_street, address_city, address_state, address_zip; other columns are ignored. Null,
     empty and space-only fields are missing components. Rows with no street, a dummy street or no house number are in
@@ -243,12 +243,12 @@ def same_addresses(rows: DataFrame, states: tuple[tuple[str, str], ...], zips: D
     parsed = materialize(parse_addresses(rows, states).where("number <> '' and name <> ''"), "p4-parsed")
     forms = parsed.groupBy(*COMPONENTS).agg(F.min("ord").alias("form"))
     members = materialize(parsed.join(forms, COMPONENTS).select(F.col("form").alias("grp"), "raw", "ord"), "p4-members")
-    towns = zips.groupBy("zip").agg(F.min(F.lower("city")).alias("_town"))
-    forms = forms.join(towns, "zip", "left").withColumn("town", F.coalesce(F.expr("nullif(city, '')"), "_town", F.lit(""))).drop("_town")
-    head, tail = F.substring("name", 1, 4), F.expr("right(name, 4)")
+    known = zips.groupBy("zip").agg(F.min(F.lower("city")).alias("_town"), F.min(F.lower("state")).alias("_area"))
+    forms = forms.join(known, "zip", "left").withColumns({"town": F.coalesce(F.expr("nullif(city, '')"), "_town", F.lit("")), "area": F.coalesce(F.expr("nullif(state, '')"), "_area", F.lit(""))})
+    initial, head, tail = F.substring("name", 1, 1), F.substring("name", 1, 4), F.expr("right(name, 4)")
     keys = F.array(
-        F.when(F.col("zip") != "", F.xxhash64("number", head, "zip", F.lit("a"))), F.when(F.col("zip") != "", F.xxhash64("number", tail, "zip", F.lit("b"))),
-        F.when(F.col("town") != "", F.xxhash64("number", head, "town", F.lit("c"))), F.when(F.col("town") != "", F.xxhash64("number", tail, "town", F.lit("d"))),
+        F.when(F.col("zip") != "", F.xxhash64("number", initial, "zip", F.lit("a"))), F.when(F.col("town") != "", F.xxhash64("number", initial, "town", F.lit("b"))),
+        F.when(F.col("area") != "", F.xxhash64("number", head, "area", F.lit("c"))), F.when(F.col("area") != "", F.xxhash64("number", tail, "area", F.lit("d"))),
         F.xxhash64("number", "name", "feature", F.lit("e")),
     )
     keyed = forms.select("form", *COMPONENTS, "town", F.explode(F.array_compact(keys)).alias("key"))
@@ -267,7 +267,7 @@ def state_list(spark: SparkSession, sf_dir: str) -> tuple[tuple[str, str], ...]:
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs of location rows whose addresses denote one place though they are stored differently."""
     rows = table(spark, sf_dir, "locations").select("ord", "address_street", "address_city", "address_state", "address_zip")
-    return same_addresses(rows, state_list(spark, sf_dir), table(spark, sf_dir, "zip_dim").select("zip", "city"))
+    return same_addresses(rows, state_list(spark, sf_dir), table(spark, sf_dir, "zip_dim").select("zip", "city", "state"))
 
 
 def p4_parsed(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -17,7 +17,7 @@ COLUMNS = "ord long, address_street string, address_city string, address_state s
 
 @pytest.fixture(scope="module")
 def zips(spark):
-    return spark.createDataFrame([("73555", "North Vonleg"), ("14273", "Fort Mimbel")], "zip string, city string")
+    return spark.createDataFrame([("73555", "North Vonleg", "TX"), ("14273", "Fort Mimbel", "NY")], "zip string, city string, state string")
 
 
 def test_pairs(spark, zips):
