@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from sitegrain.functions.text import alnum_key, clean, col, lower_trim
+from sitegrain.functions.text import alnum_key, bound, clean, col, lower_trim
 
 # Abbreviations of directions and street types, words that open a unit.
 DIRECTIONS = {"n": "north", "s": "south", "e": "east", "w": "west", "ne": "northeast", "nw": "northwest", "se": "southeast", "sw": "southwest"}
@@ -45,11 +45,18 @@ def _tokens(text: Column) -> Column:
 def norm_street(c: Column | str, keep_unit: bool = True) -> Column:
     """Lower-case street with directions and types written out; '#' counts as a suite; without its unit on demand."""
     text = F.regexp_replace(F.regexp_replace(F.lower(F.coalesce(col(c), F.lit(""))), "#", " suite "), r"[^a-z0-9\s]", " ")
-    tokens = _tokens(text)
-    if not keep_unit:
-        first = F.array_min(F.transform(F.array(*[F.lit(w) for w in UNIT_WORDS]), lambda w: F.nullif(F.array_position(tokens, w), F.lit(0))))
-        tokens = F.when(first.isNotNull(), F.slice(tokens, 1, (first - 1).cast("int"))).otherwise(tokens)
-    return F.array_join(F.transform(tokens, lambda t: _look(DIRECTIONS | STREET_TYPES, t)), " ")
+    def written(tokens: Column) -> Column:
+        return F.array_join(F.transform(tokens, lambda t: _look(DIRECTIONS | STREET_TYPES, t)), " ")
+
+    if keep_unit:
+        return written(_tokens(text))
+    return bound(_tokens(text), lambda w: written(F.slice(w, 1, F.coalesce(_first_of(w, UNIT_WORDS) - 1, F.size(w)))))
+
+
+def _first_of(tokens: Column, words: list[str]) -> Column:
+    """The place of the first of the words among the tokens, from 1; null without any."""
+    found = F.filter(F.transform(tokens, lambda t, i: F.when(t.isin(*words), i + 1)), lambda i: i.isNotNull())
+    return F.get(found, 0)
 
 
 def _titled(t: Column) -> Column:
@@ -65,25 +72,32 @@ def canonical_display(c: Column | str) -> Column:
     a floor belongs to the unit; a word that repeats the one before it in the unit is dropped.
     """
     text = F.regexp_replace(F.regexp_replace(clean(c), r"(?i)\b(suite|ste)\.?\s*#\s*", "Suite "), r"#\s*", "Suite ")
-    tokens = _tokens(F.regexp_replace(text, "[.,]", " "))
-    low = F.transform(tokens, F.lower)
-    first = F.array_min(F.transform(F.array(*[F.lit(w) for w in UNIT_NAMES]), lambda w: F.nullif(F.array_position(low, w), F.lit(0)))).cast("int")
-    floor = F.get(low, first - 1).isin("floor", "fl") & (first > 1) & F.get(low, first - 2).rlike(r"^\d+(st|nd|rd|th)$")
-    n_main = F.coalesce(first - 1 - F.when(floor, 1).otherwise(0), F.size(tokens))
-    main, unit = F.slice(tokens, 1, n_main), F.slice(tokens, n_main + 1, F.size(tokens))
-    known = list(DIRECTIONS | STREET_TYPES | ROUTES)
-    full = DIRECTIONS | STREET_TYPES | ROUTES
-
-    def shown(t: Column, i: Column) -> Column:
-        after = F.lower(F.get(main, i + 1))
-        saint = F.when(after.isin(*ROAD_WORDS), "State").when(after.isNull() | after.isin(*known), "Street").otherwise("Saint")
-        word = _look(full, F.lower(t))
-        return F.when(F.lower(t) == "st", saint).when(F.lower(t).isin(*known), F.initcap(word)).otherwise(_titled(t))
-
-    names = F.transform(unit, lambda t: F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for p in UNIT_NAMES.items() for x in p]), F.lower(t)), _titled(t)))
-    once = F.filter(names, lambda t, i: (i == 0) | (F.lower(t) != F.lower(F.get(names, i - 1))))
-    shown_main = F.array_join(F.transform(main, shown), " ")
-    return F.when(F.size(unit) > 0, F.concat(shown_main, F.lit(", "), F.array_join(once, " "))).otherwise(shown_main)
+    known, full = list(DIRECTIONS | STREET_TYPES | ROUTES), DIRECTIONS | STREET_TYPES | ROUTES
+
+    def cut(w: Column) -> Column:
+        low = F.transform(w, lambda t: F.lower(t))
+        first = _first_of(low, list(UNIT_NAMES))
+        floor = F.get(low, first - 1).isin("floor", "fl") & (first > 1) & F.get(low, first - 2).rlike(r"^\d+(st|nd|rd|th)$")
+        return F.coalesce(first - 1 - F.when(floor, 1).otherwise(0), F.size(w))
+
+    def shown(main: Column) -> Column:
+        def word(t: Column, i: Column) -> Column:
+            after, low = F.lower(F.get(main, i + 1)), F.lower(t)
+            saint = F.when(after.isin(*ROAD_WORDS), "State").when(after.isNull() | after.isin(*known), "Street").otherwise("Saint")
+            return F.when(low == "st", saint).when(low.isin(*known), F.initcap(_look(full, low))).otherwise(_titled(t))
+
+        return F.array_join(F.transform(main, word), " ")
+
+    def unit(rest: Column) -> Column:
+        names = F.create_map(*[F.lit(x) for p in UNIT_NAMES.items() for x in p])
+        written = F.transform(rest, lambda t: F.coalesce(F.try_element_at(names, F.lower(t)), _titled(t)))
+        return bound(written, lambda n: F.array_join(F.filter(n, lambda t, i: (i == 0) | (F.lower(t) != F.lower(F.get(n, i - 1)))), " "))
+
+    def display(w: Column, n: Column) -> Column:
+        main = bound(F.slice(w, 1, n), shown)
+        return F.when(F.size(w) > n, F.concat(main, F.lit(", "), unit(F.slice(w, n + 1, F.size(w))))).otherwise(main)
+
+    return bound(_tokens(F.regexp_replace(text, "[.,]", " ")), lambda w: bound(cut(w), lambda n: display(w, n)))
 
 
 def street_signature(c: Column | str) -> Column:
@@ -94,8 +108,8 @@ def street_signature(c: Column | str) -> Column:
     named = s.rlike(r"^[^,]*[a-z][^,]*,\s*\d") & ~s.rlike(r"^\s*\d")
     s = F.when(named, F.regexp_replace(s, r"^[^,]*,", "")).otherwise(s)
     number = F.regexp_extract(s, r"^\s*(\d+)", 1)
-    word = F.regexp_extract(F.regexp_replace(s, r"^\s*\d+", ""), "([a-z]+)", 1)
-    return F.struct(number.alias("number"), _look(SIGNATURE_WORDS, word).alias("word"))
+    word = bound(F.regexp_extract(F.regexp_replace(s, r"^\s*\d+", ""), "([a-z]+)", 1), lambda w: _look(SIGNATURE_WORDS, w))
+    return F.struct(number.alias("number"), word.alias("word"))
 
 
 def strip_suite(c: Column | str) -> Column:
@@ -171,18 +185,32 @@ def parse_address_line(c: Column | str, states: list[str]) -> Column:
     """
     line = F.regexp_replace(F.trim(F.coalesce(col(c), F.lit(""))), r"tel:\S+", "")
     line = F.regexp_replace(line, r"\s*[|—]\s*", ", ")
-    zip_ = F.regexp_extract(line, r"\b(\d{5})(?:-\d{4})?\b", 1)
-    line = F.when(zip_ != "", F.regexp_replace(line, r"(?s)\b\d{5}(?:-\d{4})?\b.*$", "")).otherwise(line)
-    line = F.trim(F.regexp_replace(line, r"[,\s]+$", ""))
-    code = F.regexp_extract(line, r"\b([A-Z]{2})\s*$", 1)
-    state = F.when(code.isin(*states), code).otherwise("")
-    line = F.when(state != "", F.regexp_replace(line, r",?\s*\b[A-Z]{2}\s*$", "")).otherwise(line)
-    parts = F.filter(F.transform(F.split(line, ","), lambda p: F.trim(p)), lambda p: p != "")
-    at = F.array_position(F.transform(F.slice(parts, 1, 2), lambda p: p.rlike(r"\d")), F.lit(True)).cast("int")
-    n = F.size(parts)
-    street = F.when(at > 0, F.get(parts, at - 1)).when((n > 2) & F.get(parts, n - 2).rlike(r"\d"), F.get(parts, n - 2)).otherwise("")
-    city = F.when(at > 0, F.coalesce(F.get(parts, at), F.lit(""))).when(n > 0, F.get(parts, n - 1)).otherwise("")
-    return F.struct(street.alias("street"), city.alias("city"), state.alias("state"), zip_.alias("zip"))
+
+    def placed(parts: Column, state: Column, zip_: Column) -> Column:
+        n = F.size(parts)
+        at = F.array_position(F.transform(F.slice(parts, 1, 2), lambda p: p.rlike(r"\d")), F.lit(True)).cast("int")
+        street = F.when(at > 0, F.get(parts, at - 1)).when((n > 2) & F.get(parts, n - 2).rlike(r"\d"), F.get(parts, n - 2)).otherwise("")
+        city = F.when(at > 0, F.coalesce(F.get(parts, at), F.lit(""))).when(n > 0, F.get(parts, n - 1)).otherwise("")
+        return F.struct(street.alias("street"), city.alias("city"), state.alias("state"), zip_.alias("zip"))
+
+    def with_state(left: Column, zip_: Column) -> Column:
+        code = F.regexp_extract(left, r"\b([A-Z]{2})\s*$", 1)
+
+        def parted(state: Column) -> Column:
+            rest = F.when(state != "", F.regexp_replace(left, r",?\s*\b[A-Z]{2}\s*$", "")).otherwise(left)
+            parts = F.filter(F.transform(F.split(rest, ","), lambda p: F.trim(p)), lambda p: p != "")
+            return bound(parts, lambda p: placed(p, state, zip_))
+
+        return bound(F.when(code.isin(*states), code).otherwise(""), parted)
+
+    def with_zip(whole: Column) -> Column:
+        def left(zip_: Column) -> Column:
+            rest = F.when(zip_ != "", F.regexp_replace(whole, r"(?s)\b\d{5}(?:-\d{4})?\b.*$", "")).otherwise(whole)
+            return bound(F.trim(F.regexp_replace(rest, r"[,\s]+$", "")), lambda x: with_state(x, zip_))
+
+        return bound(F.regexp_extract(whole, r"\b(\d{5})(?:-\d{4})?\b", 1), left)
+
+    return bound(line, with_zip)
 
 
 def fill_blank(c: Column | str, other: Column | str) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -11,6 +13,11 @@ def col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def bound(value: Column, f: Callable[[Column], Column]) -> Column:
+    """``f`` of the value, which is evaluated once however often ``f`` uses it."""
+    return F.get(F.transform(F.array(value), lambda v: f(v)), 0)
+
+
 def clean(c: Column | str) -> Column:
     """Missing, empty and space-only text all become the empty string; outer spaces go."""
     return F.trim(F.coalesce(col(c), F.lit("")))
