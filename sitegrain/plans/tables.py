@@ -229,7 +229,7 @@ def found_fields(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("ord", rs.filled_count(rows, [f"{f}__confidence" for f in FIELDS]).alias("found"))
 
 
-@query("WITH c AS (SELECT domain, ord AS c_ord, (row_number() OVER (PARTITION BY domain ORDER BY ord))::INT AS copy_no FROM page_fetch WHERE coalesce(html, '') <> '') SELECT o.ord, coalesce(c.copy_no, 0) AS copy_no, c.c_ord FROM orgs o LEFT JOIN c USING (domain)")
+@query("WITH c AS (SELECT domain, ord AS c_ord, row_number() OVER (PARTITION BY domain ORDER BY ord) AS copy_no FROM page_fetch WHERE coalesce(html, '') <> '') SELECT o.ord, coalesce(c.copy_no, 0) AS copy_no, c.c_ord FROM orgs o LEFT JOIN c USING (domain)")
 def expanded_rows(spark: SparkSession, d: str) -> DataFrame:
     """Each row once for each match, or as it is."""
     rows = _t(spark, d, "orgs", "ord", "domain")
