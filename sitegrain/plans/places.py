@@ -83,7 +83,7 @@ SELECT ord, CASE WHEN k > 0 THEN p[k] WHEN len(p) > 2 AND regexp_matches(p[len(p
 @query(PARSED_LINE)
 def address_lines(spark: SparkSession, d: str) -> DataFrame:
     """A free address line in its parts."""
-    codes = [r[0] for r in table(spark, d, "state_ref").select("state_code").limit(1000).collect()]  # a list that does not grow
+    codes = [r[0] for r in table(spark, d, "state_ref").select("state_code").collect()]  # 52 rows, a list that does not grow
     return table(spark, d, "orgs").select("ord", ad.parse_address_line("hq_address__value", codes).alias("a")).select("ord", "a.*")
 
 
