@@ -83,11 +83,11 @@ def ranges(rows: DataFrame, ord_: str = "ord", parts: int = 256) -> DataFrame:
     return rows.withColumn("_range", F.floor((F.col(ord_) - low) * parts / (high - low + 1)).cast("long"))
 
 
-def running(rows: DataFrame, per: list[str], values: dict[str, Column], ord_: str = "ord", own: bool = True) -> DataFrame:
+def running(rows: DataFrame, per: list[str], values: dict[str, Column], ord_: str = "ord", own: bool = True, then: list[str] | None = None) -> DataFrame:
     """The rows with running sums of the values in each group by order, of the rows before alone with ``own`` False.
 
     Sums are taken within ranges of the order and the sums of the ranges before are added, so a group that holds most
-    rows is sorted in pieces and not in one task; a null counts as 0. ``ord_`` must be a number.
+    rows is sorted in pieces and not in one task; a null counts as 0. ``ord_`` must be a number; ties go by ``then``.
     """
     given = {f"_v{i}": F.coalesce(v, F.lit(0)) for i, v in enumerate(values.values())}
     cut = ranges(rows.withColumns(given), ord_)
@@ -96,7 +96,7 @@ def running(rows: DataFrame, per: list[str], values: dict[str, Column], ord_: st
     before = sums.select(*per, "_range", *[F.coalesce(F.sum(f"{v}s").over(over), F.lit(0)).alias(f"{v}b") for v in given])
     same = [cut[k].eqNullSafe(before[k]) for k in [*per, "_range"]]
     joined = cut.join(before, [*per, "_range"]) if not per else cut.join(before, same).select(cut["*"], *[before[f"{v}b"] for v in given])
-    within = Window.partitionBy(*per, "_range").orderBy(ord_).rowsBetween(Window.unboundedPreceding, 0 if own else -1)
+    within = Window.partitionBy(*per, "_range").orderBy(ord_, *(then or [])).rowsBetween(Window.unboundedPreceding, 0 if own else -1)
     out = {n: F.coalesce(F.sum(v).over(within), F.lit(0)) + F.col(f"{v}b") for n, v in zip(values, given)}
     return joined.select(*rows.columns, *[c.alias(n) for n, c in out.items()])
 

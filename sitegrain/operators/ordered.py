@@ -1,7 +1,7 @@
 """Operators that depend on the order of rows: running figures, early stops, first-k, samples and batches.
 
 Running figures are summed in ranges of the order (``joins.running``), so a group may hold most of the rows. The first k
-of a group are cut down in each map task. ``rolling_rate`` alone sorts a whole group in one task, spilling to disk.
+of a group are cut down in each map task.
 """
 
 from __future__ import annotations
@@ -14,10 +14,20 @@ from sitegrain.operators.joins import running
 
 
 def rolling_rate(rows: DataFrame, per: list[str], at: str, ord_: str, size: int = 20) -> DataFrame:
-    """With ``rate``: of the last ``size`` rows of the group, rows a second; 0 for the first row."""
-    w = Window.partitionBy(*per).orderBy(at, ord_).rowsBetween(-(size - 1), 0)
-    span = F.greatest(F.unix_micros(F.col(at).cast("timestamp")) / 1e6 - F.min(F.unix_micros(F.col(at).cast("timestamp"))).over(w) / 1e6, F.lit(0.001))
-    return rows.withColumn("rate", F.round((F.count("*").over(w) - 1) / span, 6))
+    """With ``rate``: of the last ``size`` rows of the group, rows a second; 0 for the first row.
+
+    Rows are numbered in ranges of time; the first row of a frame is then met by its number, so no group is sorted whole.
+    """
+    timed = rows.withColumn("_at", F.unix_micros(F.col(at).cast("timestamp")))
+    n = running(timed, per, {"_no": F.lit(1).cast("long")}, "_at", then=[ord_])
+    frames = n.select(*[F.col(p).alias(f"_f{i}") for i, p in enumerate(per)], (F.col("_no") + size - 1).alias("_fn"), F.col("_at").alias("_start"))
+    firsts = timed.groupBy(*[F.col(p).alias(f"_g{i}") for i, p in enumerate(per)]).agg(F.min("_at").alias("_least"))
+    joined = n
+    for other, mark, more in ((frames, "_f", [F.col("_no") == F.col("_fn")]), (firsts, "_g", [])):
+        on = [F.col(p).eqNullSafe(F.col(f"{mark}{i}")) for i, p in enumerate(per)] + more
+        joined = joined.join(other, on, "left")
+    span = F.greatest((F.col("_at") - F.coalesce("_start", "_least")) / 1e6, F.lit(0.001))
+    return joined.select(*rows.columns, F.round((F.least("_no", F.lit(size)) - 1) / span, 6).alias("rate"))
 
 
 def until_cap(rows: DataFrame, per: list[str], cost: str, cap: float, ord_: str = "ord") -> DataFrame:

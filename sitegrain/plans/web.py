@@ -11,6 +11,7 @@ from sitegrain.functions.text import clean, contains_any
 from sitegrain.functions.tree import page_facts
 from sitegrain.operators.aggregate import children
 from sitegrain.operators.dedupe import distinct_first, first_success
+from sitegrain.operators.joins import numbered
 from sitegrain.operators.ordered import first_k, with_fallback
 from sitegrain.plans import sqltext as q
 from sitegrain.plans.registry import query
@@ -196,7 +197,7 @@ def candidate_pages(spark: SparkSession, d: str) -> DataFrame:
     path = F.array_join(ul.segments("url"), "/")
     kind = F.when(path == "", 0).when(path.contains("contact"), 1).otherwise(2)
     once = rows.select("domain", ul.page_url("url").alias("page"), kind.alias("kind"), "ord").groupBy("domain", "page").agg(F.min("kind").alias("kind"), F.min("ord").alias("ord"))
-    return first_k(once, ["domain"], [F.col("kind"), F.col("ord")], 1 << 30).select("domain", "page", "kind", F.col("rank").alias("place"))
+    return numbered(once.withColumn("at", F.col("kind") * (1 << 40) + F.col("ord")), "at", "place", ["domain"]).select("domain", "page", "kind", "place")
 
 
 _LABELS = ", ".join(f"CASE WHEN contains(path, '{k}') THEN '{v}' END" for k, v in ul.SPECIALTY_OF_PATH.items())

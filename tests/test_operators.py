@@ -101,6 +101,25 @@ def test_ordered(spark):
     assert rows(od.with_fallback(frame, ["g"], [F.col("found") > 9], 2), "ord") == [(0,), (1,)]
 
 
+def test_rolling_rate(spark):
+    import datetime
+    import random
+
+    r = random.Random(4)
+    base = datetime.datetime(2024, 1, 1)
+    data = [(r.choice(["a", "a", "a", None, "b"]), i, base + datetime.timedelta(seconds=r.randint(0, 400))) for i in range(300)]
+    want = {}
+    for g in {d[0] for d in data}:
+        own = sorted((t, i) for k, i, t in data if k == g)
+        for j, (t, i) in enumerate(own):
+            lo = max(0, j - 4)
+            want[i] = round((j - lo) / max((t - own[lo][0]).total_seconds(), 0.001), 6)
+    frame = spark.createDataFrame(data, "g string, ord long, ts timestamp")
+    got = {x.ord: x.rate for x in od.rolling_rate(frame, ["g"], "ts", "ord", 5).collect()}
+    assert got == pytest.approx(want)
+    assert od.rolling_rate(frame.where("false"), ["g"], "ts", "ord").count() == 0
+
+
 def test_shapes(spark):
     frame = spark.createDataFrame([(1, "x", None, "h", "not_found")], "id long, a__value string, b__value string, a__confidence string, b__confidence string")
     parts = ["value", "confidence"]
