@@ -107,10 +107,17 @@ def json_ld(html: Column | str) -> Column:
 
 
 def structured_data(html: Column | str) -> Column:
-    """array of struct(type, name, telephone, address): what the page's ld+json objects say; other shapes give nulls."""
-    schema = "struct<`@type`:string,name:string,telephone:string,address:string>"
-    parsed = F.transform(json_ld(html), lambda j: F.from_json(j, schema))
-    return F.transform(F.filter(parsed, lambda x: x["@type"].isNotNull()), lambda x: F.struct(x["@type"].alias("type"), x["name"].alias("name"), x["telephone"].alias("telephone"), x["address"].alias("address")))
+    """array of struct(type, name, telephone, address): what the page's ld+json objects say, single ones, lists and graphs
+    alike. An address that is an object is its JSON text; broken scripts and objects without a type give nothing.
+    """
+    parts = "`@type`:string,name:string,telephone:string,address:string"
+    lists = F.filter(F.transform(json_ld(html), lambda j: F.from_json(j, f"array<struct<{parts},`@graph`:array<struct<{parts}>>>>")), lambda a: a.isNotNull())
+
+    def fields(x: Column) -> Column:
+        return F.struct(x["@type"].alias("type"), x["name"].alias("name"), x["telephone"].alias("telephone"), x["address"].alias("address"))
+
+    each = F.transform(F.flatten(lists), lambda x: F.when(x["@graph"].isNotNull(), F.transform(x["@graph"], fields)).otherwise(F.array(fields(x))))
+    return F.filter(F.flatten(each), lambda x: x["type"].isNotNull())
 
 
 def map_addresses(html: Column | str) -> Column:

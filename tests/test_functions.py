@@ -67,6 +67,11 @@ def test_pages(spark):
     assert one(spark, pg.structured_data, '<script type="application/ld+json">{broken</script>') == [] and one(spark, pg.json_ld, None) == []
 
 
+def test_structured_data(spark):
+    page = "".join(f'<script type="application/ld+json">{j}</script>' for j in ('{"@type":"A","name":"n","address":{"x":"1"}}', '[{"@type":"B"},{"name":"no type"}]', '{"@graph":[{"@type":"C","telephone":"5"},{"@type":"D"}]}', "{broken", ""))
+    assert [tuple(x) for x in one(spark, pg.structured_data, page)] == [("A", "n", None, '{"x":"1"}'), ("B", None, None, None), ("C", None, "5", None), ("D", None, None, None)]
+
+
 def test_urls(spark):
     u = "HTTPS://www.A.test/X/y/?q=a%20b#f"
     assert one(spark, ul.norm_url, u) == "a.test/x/y" and one(spark, ul.url_host, u) == "a.test" and one(spark, ul.query_param and (lambda c: ul.query_param(c, "q")), u) == "a b"
