@@ -260,7 +260,7 @@ def same_addresses(rows: DataFrame, states: tuple[tuple[str, str], ...], zips: D
 
 def state_list(spark: SparkSession, sf_dir: str) -> tuple[tuple[str, str], ...]:
     """The (code, name) of each state in lower case: a reference list that doesn't grow with the data."""
-    rows = table(spark, sf_dir, "state_ref").select("state_code", "state_name").limit(1000).collect()
+    rows = table(spark, sf_dir, "state_ref").select("state_code", "state_name").collect()
     return tuple(sorted((r[0].lower(), r[1].lower()) for r in rows if r[0] and r[1]))
 
 

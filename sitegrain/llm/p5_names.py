@@ -211,7 +211,7 @@ def variant_groups(rows: DataFrame, states: tuple[str, ...]) -> tuple[DataFrame,
 def _rows(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, tuple[str, ...]]:
     orgs = table(spark, sf_dir, "orgs").select(F.lit("canonical_org_name").alias("field_name"), F.lit("").alias("scope"), "ord", F.col("canonical_org_name__value").alias("name"))
     places = table(spark, sf_dir, "locations").where("domain is not null").select(F.lit("location_name").alias("field_name"), F.col("domain").alias("scope"), "ord", F.col("location_name").alias("name"))
-    states = table(spark, sf_dir, "state_ref").select(F.lower("state_name")).limit(1000).collect()
+    states = table(spark, sf_dir, "state_ref").select(F.lower("state_name")).collect()
     return orgs.unionByName(places), tuple(sorted(r[0] for r in states if r[0]))
 
 
