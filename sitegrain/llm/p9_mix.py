@@ -2,8 +2,9 @@
 
 Subset-sum budget fitting. Documents are counted by source and exact token length; each source's budget is its share
 of the largest total that every source with documents can fill within its repeats. Whole passes over a source come
-first. Of the rest the bulk is drawn by a seeded order, and for what then remains a bounded-knapsack dynamic programme
-over the counts of token lengths finds how many documents of each length reach the budget to the token.
+first. Of the rest a like part of every length is taken, and for what then remains a bounded-knapsack dynamic programme
+over the counts of all token lengths finds how many documents of each length reach the budget to the token. Which
+documents of a length are drawn is up to a seeded order.
 """
 
 from __future__ import annotations
@@ -22,8 +23,8 @@ from pyspark.sql.window import Window
 from sitegrain.sources.tables import materialize, table
 
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
-#: Steps of the seeded order at which tokens are counted, and documents beyond the bulk that the programme may choose from.
-STEPS, POOL = 4096, 1000
+#: Steps of the seeded order at which the documents of one length are counted, so that none is ranked among all of its length.
+STEPS = 4096
 #: Tokens that are left to the dynamic programme after the longest documents have been taken greedily.
 REST = 20_000
 
@@ -91,19 +92,15 @@ def fit_lengths(counts: dict[int, int], budget: int) -> dict[int, int]:
 
 @dataclass
 class Part:
-    """What is drawn of one source: every document ``passes`` times, those below ``low`` in the seeded order and those
-    up to ``high`` that the lengths say, once more."""
+    """What is drawn of one source: every document ``passes`` times, and once more documents of ``rest`` tokens in all."""
 
     source: str
     share: float
     repeats: int
-    docs: int = 0
     tokens: int = 0
     budget: int = 0
     passes: int = 0
     rest: int = 0
-    low: int = 0
-    high: int = 0
 
 
 def _targets(targets: DataFrame) -> list[Part]:
@@ -118,6 +115,17 @@ def _by_source(parts: list[Part], value) -> Column:
     return out
 
 
+def _first(sized: DataFrame, counts: DataFrame) -> DataFrame:
+    """The first ``take`` documents of each source and length in the seeded order; ranks are found within single steps of it."""
+    cell = ["source", "n_tokens", "step"]
+    stepped = sized.withColumn("step", F.expr(f"turn div {(1 << 40) // STEPS}"))
+    before = F.sum("n").over(Window.partitionBy("source", "n_tokens").orderBy("step").rowsBetween(Window.unboundedPreceding, -1))
+    cells = stepped.groupBy(*cell).agg(F.count("*").alias("n")).withColumn("before", F.coalesce(before, F.lit(0)))
+    room = cells.join(counts, ["source", "n_tokens"]).select(*cell, (F.col("take") - F.col("before")).alias("room")).where("room > 0")
+    order = Window.partitionBy(*cell).orderBy("turn", "doc_id")
+    return stepped.join(room, cell).withColumn("k", F.row_number().over(order)).where("k <= room")
+
+
 def draw(docs: DataFrame, targets: DataFrame, total_tokens: int | None = None, seed: int = 7, tokenizer: str = TOKENIZER) -> tuple[DataFrame, list[Part]]:
     """((doc_id, source, n_tokens, repeats) of each drawn document, the budget of each source).
 
@@ -131,40 +139,22 @@ def draw(docs: DataFrame, targets: DataFrame, total_tokens: int | None = None, s
     names = [p.source for p in parts]
     sized = token_lengths(docs.where(F.col("source").isin(names)), tokenizer).where("n_tokens > 0")
     sized = materialize(sized.withColumn("turn", F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(1 << 40))), "p9-sized")
-    step = (1 << 40) // STEPS
-    seen = sized.groupBy("source", F.expr(f"turn div {step}").alias("step")).agg(F.count("*").alias("n"), F.sum("n_tokens").alias("t")).collect()  # STEPS rows a target at most
-    steps: dict[str, dict[int, tuple[int, int]]] = {p.source: {} for p in parts}
-    for r in seen:
-        steps[r.source][r.step] = (r.n, r.t)
+    lengths: dict[str, dict[int, int]] = {p.source: {} for p in parts}
+    for r in sized.groupBy("source", "n_tokens").count().collect():  # all lengths of a target: at most the root of twice its tokens
+        lengths[r.source][r.n_tokens] = r["count"]
     for p in parts:
-        p.docs, p.tokens = (sum(x[i] for x in steps[p.source].values()) for i in (0, 1))
+        p.tokens = sum(n * c for n, c in lengths[p.source].items())
     able = [p for p in parts if p.tokens and p.repeats]
     total = total_tokens if total_tokens is not None else min((p.tokens * p.repeats / p.share for p in able), default=0)
     for p in able:
         p.budget = min(round(total * p.share), p.tokens * p.repeats)
         p.passes, p.rest = divmod(p.budget, p.tokens)
-        # The bulk ends where the rest needs half of the pool; the pool begins there.
-        bulk, keep = 0, POOL / 2 * p.tokens / p.docs
-        while p.low < STEPS and bulk + (t := steps[p.source].get(p.low, (0, 0))[1]) <= p.rest - keep:
-            bulk += t
-            p.low += 1
-        pool, p.high = 0, p.low
-        while p.high < STEPS and (pool < POOL):
-            pool += steps[p.source].get(p.high, (0, 0))[0]
-            p.high += 1
-        p.rest -= bulk
-    chosen = sized.where(F.col("turn").between(_by_source(able, lambda p: p.low * step), _by_source(able, lambda p: p.high * step - 1)))
-    lengths: dict[str, dict[int, int]] = {p.source: {} for p in parts}
-    for r in chosen.groupBy("source", "n_tokens").count().collect():  # the lengths of the pools
-        lengths[r.source][r.n_tokens] = r["count"]
     wanted = [(p.source, n, c) for p in able for n, c in fit_lengths(lengths[p.source], p.rest).items()]
     counts = docs.sparkSession.createDataFrame(wanted, "source string, n_tokens long, take long")
-    order = Window.partitionBy("source", "n_tokens").orderBy("turn", "doc_id")
-    extra = chosen.join(counts, ["source", "n_tokens"]).withColumn("k", F.row_number().over(order)).where("k <= take")
-    bulk = sized.where(F.col("turn") < _by_source(able, lambda p: p.low * step))
+    extra = _first(sized, counts)
     passes = _by_source(able, lambda p: p.passes)
     columns = ["doc_id", "source", "n_tokens", "turn"]
-    once = bulk.select(*columns).unionByName(extra.select(*columns)).withColumn("add", F.lit(1))
+    once = extra.select(*columns).withColumn("add", F.lit(1))
     whole = sized.where(passes > 0).select(*columns).withColumn("add", passes)
     drawn = whole.unionByName(once).groupBy("doc_id", "source", "n_tokens").agg(F.sum("add").alias("repeats"))
     return drawn, parts

@@ -51,6 +51,18 @@ def test_given_total_and_empty(spark):
     assert draw(docs.where("false"), spark.createDataFrame([("a", 1.0, 1)], TARGETS))[0].count() == 0
 
 
+def test_every_document_can_be_chosen(spark):
+    # All documents have an even number of tokens but one, which the seeded order puts far behind any small budget.
+    order = spark.range(6000).selectExpr("id", f"pmod(xxhash64(id, 7), {1 << 40}) turn").orderBy("turn").collect()
+    odd = order[-1].id
+    docs = spark.createDataFrame([(r.id, "a", "word word word" if r.id == odd else "word word", "x") for r in order], DOCS)
+    assert {r.n_tokens for r in token_lengths(docs).collect()} == {2, 3}
+    drawn, parts = draw(docs, spark.createDataFrame([("a", 1.0, 1)], TARGETS), total_tokens=101)
+    rows = drawn.collect()
+    assert parts[0].budget == 101 == sum(r.n_tokens for r in rows)
+    assert odd in {r.doc_id for r in rows} and {r.doc_id for r in rows} - {odd} == {r.id for r in order[:49]}
+
+
 def test_counts(spark):
     got = {r.doc_id: r.n_tokens for r in token_lengths(spark.createDataFrame([(1, "s", "hello world", ""), (2, "s", "", ""), (3, "s", None, ""), (4, "s", "<|endoftext|>", "")], DOCS)).collect()}
     assert got[1] == 2 and got[2] == 0 and got[4] > 1 and 3 not in got
